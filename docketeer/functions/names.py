@@ -7,7 +7,7 @@ be paired resets the list. Each docstring gives the rule.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,6 +94,15 @@ def _pairs(parts: Column) -> Column:
     return F.when(F.size(parts) == 3, three).otherwise(couples)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    Outside of generated code an expression is evaluated at every place it stands in; a
+    lambda variable holds a value.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def pair_up(names: Column) -> Column:
     """Turn three tokens into 'first last-last' and an even row of tokens into couples.
 
@@ -102,25 +111,39 @@ def pair_up(names: Column) -> Column:
     on the parity of k only, so the loop has a closed form: everything up to the last
     unpairable name comes from the reset, everything after it from its own pairs.
     """
-    parts = F.transform(names, tokens)
-    total = F.size(names)
-    from_end = F.array_position(F.reverse(F.transform(parts, _pairable)), F.lit(False)).cast("int")
-    last_reset = F.when(from_end > 0, total - from_end).otherwise(F.lit(-1))
+    nothing = F.array().cast("array<string>")
 
     def settle(name: Column, rounds: Column) -> Column:
-        once = first_last_order(name)
-        return F.when(rounds % 2 == 1, once).otherwise(first_last_order(once))
-
-    reset = F.when(
-        last_reset >= 0, F.transform(names, lambda name: settle(name, total - last_reset))
-    ).otherwise(F.array().cast("array<string>"))
-    paired = F.transform(
-        parts,
-        lambda row, i: F.when(
-            i > last_reset, F.transform(_pairs(row), lambda name: settle(name, total - i))
-        ).otherwise(F.array().cast("array<string>")),
+        return bind(
+            first_last_order(name),
+            lambda once: F.when(rounds % 2 == 1, once).otherwise(first_last_order(once)),
+        )
+
+    def last_reset(rows: Column) -> Column:
+        flags = F.reverse(F.transform(rows, lambda row: _pairable(row["parts"])))
+        return bind(
+            F.array_position(flags, F.lit(False)).cast("int"),
+            lambda from_end: F.when(from_end > 0, F.size(rows) - from_end).otherwise(-1),
+        )
+
+    def both(rows: Column, last: Column) -> Column:
+        total = F.size(rows)
+        reset = F.when(
+            last >= 0, F.transform(rows, lambda row: settle(row["name"], total - last))
+        ).otherwise(nothing)
+        paired = F.transform(
+            rows,
+            lambda row, i: F.when(
+                i > last,
+                F.transform(_pairs(row["parts"]), lambda name: settle(name, total - i)),
+            ).otherwise(nothing),
+        )
+        return F.concat(reset, F.flatten(paired))
+
+    rows = F.transform(
+        names, lambda name: F.struct(name.alias("name"), tokens(name).alias("parts"))
     )
-    return F.concat(reset, F.flatten(paired))
+    return bind(rows, lambda r: bind(last_reset(r), lambda last: both(r, last)))
 
 
 def strip_punctuation(name: Column) -> Column:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketeer.functions.names import PUNCTUATION, squeeze, tokens
+from docketeer.functions.names import PUNCTUATION, bind, squeeze, tokens
 
 # One-letter Hebrew prefixes, each optional before a listed word.
 PREFIXES = ["ו?", "ל?", "כ?ש?", "ה?", "ב?", "מ?", "ש?", "כ?"]
@@ -91,13 +91,16 @@ def model_tokens(text: Column) -> Column:
 
 def ngrams(words: Column, n: int | Column) -> Column:
     """All runs of ``n`` neighbouring tokens, joined by a space; none if there are fewer."""
-    size = F.lit(n) if isinstance(n, int) else n
-    starts = F.when(
-        F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)
-    ).otherwise(F.array().cast("array<int>"))
     if isinstance(n, int) and n == 1:
         return words
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+    size = F.lit(n) if isinstance(n, int) else n
+
+    def runs(held: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(held) - size + 1)
+        grams = F.transform(starts, lambda i: F.array_join(F.slice(held, i, size), " "))
+        return F.when(F.size(held) >= size, grams).otherwise(F.array().cast("array<string>"))
+
+    return bind(words, runs)
 
 
 def term_keys(terms: Column) -> Column:

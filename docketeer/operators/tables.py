@@ -74,25 +74,27 @@ def organize_rows(df: DataFrame, column: str) -> DataFrame:
     Three tokens become 'first last-last', an even number above two becomes couples;
     both swap when the first token has a hyphen. Other rows stay as they are.
     """
-    parts = N.tokens(F.col(column))
-    size = F.size(parts)
-    swap = F.contains(F.get(parts, 0), F.lit("-"))
 
-    def join(a: Column, b: Column) -> Column:
-        return F.when(swap, F.concat_ws(" ", b, a)).otherwise(F.concat_ws(" ", a, b))
+    def values(parts: Column) -> Column:
+        size = F.size(parts)
+        swap = F.contains(F.get(parts, 0), F.lit("-"))
+
+        def join(a: Column, b: Column) -> Column:
+            return F.when(swap, F.concat_ws(" ", b, a)).otherwise(F.concat_ws(" ", a, b))
+
+        three = join(F.get(parts, 0), F.concat_ws("-", F.get(parts, 1), F.get(parts, 2)))
+        couples = F.transform(
+            F.sequence(F.lit(0), F.floor(size / 2).cast("int") - 1),
+            lambda i: join(F.get(parts, i * 2), F.get(parts, i * 2 + 1)),
+        )
+        return (
+            F.when(size == 3, F.array(three))
+            .when((size > 2) & (size % 2 == 0), couples)
+            .otherwise(F.array(column))
+        )
 
-    three = F.array(join(F.get(parts, 0), F.concat_ws("-", F.get(parts, 1), F.get(parts, 2))))
-    couples = F.transform(
-        F.sequence(F.lit(0), F.floor(size / 2).cast("int") - 1),
-        lambda i: join(F.get(parts, i * 2), F.get(parts, i * 2 + 1)),
-    )
-    values = (
-        F.when(size == 3, three)
-        .when((size > 2) & (size % 2 == 0), couples)
-        .otherwise(F.array(column))
-    )
     rest = [c for c in df.columns if c != column]
-    return df.select(*rest, F.posexplode(values).alias("pair", column))
+    return df.select(*rest, F.posexplode(N.bind(N.tokens(F.col(column)), values)).alias("pair", column))
 
 
 def with_first_and_last(df: DataFrame, column: str, strip: bool = True) -> DataFrame:

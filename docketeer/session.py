@@ -43,7 +43,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back, which cuts the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def settled(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    This cuts the lineage, so that lost executors cost one step only, and gives the
+    planner the true size of the table.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
