@@ -153,9 +153,8 @@ def strip_punctuation(name: Column) -> Column:
         return F.translate(text, PUNCTUATION, "")
 
     hyphens = F.length(name) - F.length(F.replace(name, F.lit("-"), F.lit("")))
-    two = F.concat_ws(
-        "-", *(bare(F.split_part(name, F.lit("-"), F.lit(i))) for i in (1, 2))
-    )
+    left, right = (bare(F.split_part(name, F.lit("-"), F.lit(i))) for i in (1, 2))
+    two = F.concat(left, F.lit("-"), right)
     return F.when(hyphens == 0, bare(name)).when(hyphens == 1, "").otherwise(two)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from docketeer.functions import text as X
 from docketeer.operators.tables import unpivot_names
 from docketeer.session import settled
 
+# Tasks get the helpers below by value, as executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Names per pass of the consuming count; each pass ships one such piece to the tasks.
 NAMES_PER_PASS = 200_000
 
