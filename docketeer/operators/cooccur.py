@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docketeer.functions.names import bind
+from docketeer.operators.joins import exploded
+from docketeer.session import settled
+
 
 def present_features(
     df: DataFrame, names: str, category: str, top: Sequence[str]
@@ -15,12 +19,21 @@ def present_features(
 
     ``top`` is the short list of a top-k report.
     """
-    held = F.filter(F.array(*(F.lit(n) for n in top)), lambda n: F.array_contains(names, n))
-    return df.where(F.col(names).isNotNull()).withColumn("_held", held).where(
-        F.size("_held") > 0
-    ).withColumn(
-        "features", F.array_distinct(F.array_compact(F.concat("_held", F.array(category))))
-    ).drop("_held")
+    listed = F.array(*(F.lit(n) for n in top))
+    # Bound once: the names may be a costly expression.
+    held = bind(
+        F.col(names),
+        lambda own: F.filter(listed, lambda n: F.array_contains(own, n)),
+    )
+    features = bind(
+        held,
+        lambda h: F.when(
+            F.size(h) > 0, F.array_distinct(F.array_compact(F.concat(h, F.array(category))))
+        ),
+    )
+    # An outer explode of one list keeps the filter from computing the list again.
+    one = df.withColumn("features", F.explode_outer(F.array(features)))
+    return one.where(F.col("features").isNotNull())
 
 
 def indicator_table(
@@ -42,45 +55,46 @@ def correlations(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     place = F.array(*(F.lit(c) for c in columns))
-    known = F.array_sort(
-        F.filter(
-            F.transform("features", lambda f: F.array_position(place, f)), lambda p: p > 0
-        )
-    )
-    pairs = F.flatten(
-        F.transform(
-            "_at",
-            lambda a: F.transform(
-                F.filter("_at", lambda b: b >= a), lambda b: F.struct(a.alias("a"), b.alias("b"))
-            ),
+    at = F.filter(F.transform("features", lambda f: F.array_position(place, f)), lambda p: p > 0)
+
+    def all_pairs(held: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                held,
+                lambda a: F.transform(
+                    F.filter(held, lambda b: b >= a),
+                    lambda b: F.struct(a.alias("a"), b.alias("b")),
+                ),
+            )
         )
-    )
-    counted = (
-        features.select(known.alias("_at"))
-        .select(F.explode(pairs).alias("_p"))
-        .groupBy("_p.a", "_p.b")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+    # Every row holds place 0: its pairs count the rows, and each feature alone.
+    held = F.concat(F.array(F.lit(0).cast("long")), at)
+    pairs = exploded(features, [], bind(held, all_pairs), "_p")
+    counted = settled(
+        pairs.groupBy("_p.a", "_p.b").agg(F.count(F.lit(1)).cast("double").alias("n")), "pairs"
     )
     # From here on all tables are as small as the column list squared.
-    total = features.agg(F.count(F.lit(1)).cast("double")).scalar()
-    every = [
-        (i + 1, j + 1) for i in range(len(columns)) for j in range(i + 1, len(columns))
-    ]
+    total = counted.where("a = 0 AND b = 0").select("n").scalar()
+    every = [(i + 1, j + 1) for i in range(len(columns)) for j in range(i + 1, len(columns))]
     grid = features.sparkSession.createDataFrame(every, "a long, b long")
-    single = counted.where("a = b").select("a", "n")
-    joint = counted.where("a < b")
-    n1, n2, n11, n = F.col("_n1"), F.col("_n2"), F.col("_n11"), total
+    single = counted.where("a = 0 AND b > 0")
     covered = (
-        grid.join(single.select("a", F.col("n").alias("_n1")), "a", "left")
-        .join(single.select(F.col("a").alias("b"), F.col("n").alias("_n2")), "b", "left")
-        .join(joint.select("a", "b", F.col("n").alias("_n11")), ["a", "b"], "left")
+        grid.join(single.select(F.col("b").alias("a"), F.col("n").alias("_n1")), "a", "left")
+        .join(single.select("b", F.col("n").alias("_n2")), "b", "left")
+        .join(
+            counted.where("0 < a AND a < b").select("a", "b", F.col("n").alias("_n11")),
+            ["a", "b"],
+            "left",
+        )
         .na.fill(0.0, ["_n1", "_n2", "_n11"])
     )
-    spread = F.sqrt(n1 * (n - n1)) * F.sqrt(n2 * (n - n2))
+    n1, n2, n11, n = F.col("_n1"), F.col("_n2"), F.col("_n11"), total
+    deviations = F.sqrt(n1 * (n - n1)) * F.sqrt(n2 * (n - n2))
     return covered.select(
         F.element_at(place, F.col("a").cast("int")).alias("feature_a"),
         F.element_at(place, F.col("b").cast("int")).alias("feature_b"),
-        F.try_divide(n * n11 - n1 * n2, spread).alias("corr"),
+        F.try_divide(n * n11 - n1 * n2, deviations).alias("corr"),
     )
 
 

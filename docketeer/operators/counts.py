@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.functions import text as X
+from docketeer.operators.joins import exploded
 from docketeer.operators.tables import unpivot_names
 from docketeer.session import settled
 
@@ -33,8 +34,8 @@ def names_per_role(names: DataFrame) -> DataFrame:
 
 def name_counts(df: DataFrame, names: str, by: Sequence[str] = ()) -> DataFrame:
     """Occurrences of each non-empty name over a list column; repeats in a row count."""
-    exploded = df.select(*by, F.explode(names).alias("name")).where("name <> ''")
-    return exploded.groupBy(*by, "name").agg(F.count(F.lit(1)).alias("n"))
+    rows = exploded(df, by, names, "name").where("name <> ''")
+    return rows.groupBy(*by, "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_names(df: DataFrame, names: str, k: int = 10) -> DataFrame:
@@ -112,8 +113,8 @@ def undated(df: DataFrame, key: str, date_text: str) -> DataFrame:
 def word_counts(
     df: DataFrame, text: str, by: Sequence[str] = (), not_letters: str = X.NOT_HEBREW
 ) -> DataFrame:
-    words = F.explode(X.letter_words(F.col(text), not_letters)).alias("word")
-    return df.select(*by, words).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
+    words = X.letter_words(F.col(text), not_letters)
+    return exploded(df, by, words, "word").groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def keyword_matches(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:

@@ -12,6 +12,15 @@ HOT_SHARE = 0.001
 SALTS = 64
 
 
+def exploded(df: DataFrame, keys: Sequence[str], array: Column | str, name: str) -> DataFrame:
+    """The keys and one row per non-null element, for arrays that are costly to make.
+
+    For a plain explode the optimizer first filters on the size of the array, which
+    computes the array once more; it leaves the outer form alone.
+    """
+    return df.select(*keys, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
     """The keys of ``counts`` with more than ``HOT_SHARE`` of the total: 1000 rows at most."""
     total = counts.agg(F.sum(n)).scalar()
@@ -80,15 +89,9 @@ def fuzzy_members(
 ) -> DataFrame:
     """Add ``is_member``: whether any item of the collection is within ``edits`` edits."""
     distinct = words.select(F.col(word).alias("_word")).where("_word IS NOT NULL").distinct()
-    probes = distinct.select(
-        "_word", F.explode(deletion_keys(F.col("_word"), edits)).alias("_key")
-    )
-    items = (
-        collection.select(F.col(item).alias("_item"))
-        .where("_item IS NOT NULL")
-        .distinct()
-        .select("_item", F.explode(deletion_keys(F.col("_item"), edits)).alias("_key"))
-    )
+    probes = exploded(distinct, ["_word"], deletion_keys(F.col("_word"), edits), "_key")
+    listed = collection.select(F.col(item).alias("_item")).where("_item IS NOT NULL").distinct()
+    items = exploded(listed, ["_item"], deletion_keys(F.col("_item"), edits), "_key")
     members = (
         probes.join(items, "_key")
         .where(within_edits("_word", "_item", edits))

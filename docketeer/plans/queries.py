@@ -25,7 +25,7 @@ from docketeer.operators import (
     tokens,
 )
 from docketeer.plans import enrich
-from docketeer.session import new_folder
+from docketeer.session import new_folder, spread
 from docketeer.sources.sinks import load_model, save_model
 from docketeer.streaming import enrich as stream
 
@@ -46,13 +46,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(_table(spark, folder, "documents"), "doc_id")
+
+
 def _lists(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return docs.select("doc_id", F.split("text", "\n").alias("names"))
 
 
 def _rows(lists: DataFrame, names: Column | str = "names") -> DataFrame:
-    return lists.select("doc_id", F.posexplode(names).alias("pos", "name"))
+    # The outer form, as the optimizer computes the list of a plain explode twice.
+    every = lists.select("doc_id", F.posexplode_outer(names).alias("pos", "name"))
+    return every.where("pos IS NOT NULL")
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,14 +74,14 @@ def _turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     long = F.when(F.col("n_chars") > 1000, "long")
     return docs.select("doc_id", F.concat_ws(" - ", "lang", "source", long).alias("label"))
 
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, category and the distinct lower-case words of the text."""
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     words = F.array_distinct(X.model_tokens(F.col("text"))).alias("words")
     return docs.select("doc_id", F.col("lang").alias("category"), words)
 
@@ -179,40 +185,40 @@ def split_by_role(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replace_patterns(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return docs.select("doc_id", X.replace_patterns(F.col("text"), PATTERNS).alias("text"))
 
 
 def remove_prefixed_words(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     kept = X.remove_prefixed_words(F.col("text"), STOP_WORDS, PREFIXES)
     return docs.select("doc_id", kept.alias("text"))
 
 
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     cleaned = X.clean_text(F.col("text"), STOP_WORDS, NAMES, PREFIXES)
     return docs.select("doc_id", cleaned.alias("text"))
 
 
 def bare_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     words = X.bare_tokens(F.col("text"))
     return docs.select("doc_id", F.size(words).alias("n"), F.array_join(words, " ").alias("words"))
 
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return counts.word_counts(docs, "text", ["doc_id"], "[^A-Za-z]")
 
 
 def keyword_matches(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return counts.keyword_matches(docs, "text", KEYWORDS).select("doc_id", "source")
 
 
 def keyword_match_count(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.keyword_match_count(_table(spark, folder, "documents"), "text", KEYWORDS)
+    return counts.keyword_match_count(_documents(spark, folder), "text", KEYWORDS)
 
 
 # Joins
@@ -282,7 +288,7 @@ def prepare_roster(spark: SparkSession, folder: str) -> DataFrame:
 
 def fuzzy_members(spark: SparkSession, folder: str) -> DataFrame:
     """Which words of the documents are within one edit of a word of a benchmark item."""
-    words = counts.word_counts(_table(spark, folder, "documents"), "text", (), "[^A-Za-z]")
+    words = counts.word_counts(_documents(spark, folder), "text", (), "[^A-Za-z]")
     items = counts.word_counts(_table(spark, folder, "benchmark"), "text", (), "[^A-Za-z]")
     return joins.fuzzy_members(words, "word", items, "word", 1)
 
@@ -320,7 +326,7 @@ def category_assign(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("category1"),
         status.alias("category2"),
     )
-    lines = _table(spark, folder, "lineitem")
+    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey")
     ids = lines.select(
         F.concat_ws("-", "l_orderkey", F.col("l_orderkey") % 100, "l_linenumber").alias("id")
     )
@@ -370,7 +376,7 @@ def category_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sorted_category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.sorted_category_counts(_table(spark, folder, "documents"), "source")
+    return counts.sorted_category_counts(_documents(spark, folder), "source")
 
 
 def category_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,22 +433,22 @@ def unrepeated_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "lang")
+    docs = _documents(spark, folder).select("doc_id", "lang")
     return sampling.train_test_split(docs, "doc_id", ["lang"], SHARE, SEED)
 
 
 def one_vs_rest_split(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     return sampling.one_vs_rest_split(docs, "doc_id", "lang", LANGS, SHARE, SEED)
 
 
 def random_rows(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "lang", "source")
+    docs = _documents(spark, folder).select("doc_id", "lang", "source")
     return sampling.random_rows(docs, "doc_id", 10, SEED)
 
 
 def first_rows(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "lang", "source")
+    docs = _documents(spark, folder).select("doc_id", "lang", "source")
     return tables.first_rows(docs, ["lang", "doc_id"], 100)
 
 
@@ -450,17 +456,17 @@ def first_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    weights = terms.tfidf(_table(spark, folder, "documents"), "doc_id", "text", 1)
+    weights = terms.tfidf(_documents(spark, folder), "doc_id", "text", 1)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
 def term_rank_window(spark: SparkSession, folder: str) -> DataFrame:
-    weights = terms.document_term_weights(_table(spark, folder, "documents"), "doc_id", "text")
+    weights = terms.document_term_weights(_documents(spark, folder), "doc_id", "text")
     return terms.ranked_terms(weights, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, bayes.Model, DataFrame]:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     model, test = enrich.train(docs, "doc_id", "text", "lang", SIZES, SHARE, SEED)
     path = new_folder(spark, "model")
     save_model(model, path)
@@ -514,7 +520,7 @@ def classification_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ngram_search(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
+    docs = _documents(spark, folder)
     split = sampling.one_vs_rest_split(docs, "doc_id", "lang", LANGS, SHARE, SEED)
     return _rounded_report(bayes.ngram_search(split, docs, "doc_id", "text", SEARCH))
 
@@ -581,12 +587,12 @@ def _flat_columns(normalized: DataFrame) -> DataFrame:
 
 
 def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
-    flat = _flat(_table(spark, folder, "documents"))
+    flat = _flat(_documents(spark, folder))
     return _flat_columns(enrich.normalize(flat, STOP_WORDS, _roster(spark, folder), ["The", "La"]))
 
 
 def route_failures(spark: SparkSession, folder: str) -> DataFrame:
-    flat = _flat(_table(spark, folder, "documents"))
+    flat = _flat(_documents(spark, folder))
     return counts.status_counts(enrich.with_name_errors(flat))
 
 

@@ -43,6 +43,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition a table that comes in fewer splits than there are cores.
+
+    Texts are worked on where they are read, and one small file is one task. A large
+    table has more splits than that and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def settled(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

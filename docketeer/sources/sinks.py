@@ -83,10 +83,9 @@ def save_model(model: Model, path: str) -> None:
 
 def load_model(spark, path: str) -> Model:
     # Partition values are read as text, whatever a category looks like.
-    terms = "model string, n int, term binary, df long, idf double, log_p0 double, log_p1 double"
-    classes = (
-        "model string, n int, n_docs long, n_terms long, log_prior0 double, log_prior1 double"
-    )
+    cell = "cell int, model string, n int, "
+    terms = cell + "term binary, df long, idf double, log_p0 double, log_p1 double"
+    classes = cell + "n_docs long, n_terms long, log_prior0 double, log_prior1 double"
     return Model(
         spark.read.schema(terms).parquet(f"{path}/terms"),
         spark.read.schema(classes).parquet(f"{path}/classes"),
