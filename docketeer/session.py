@@ -1,4 +1,4 @@
-"""Session settings and the shared folder for checkpoints and written tables."""
+"""Session settings and the shared folder for written tables."""
 
 from __future__ import annotations
 
@@ -21,6 +21,10 @@ def local_session(cores: str = "8", app: str = "docketeer") -> SparkSession:
     )
 
 
+# The folders of local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -28,15 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="docketeer-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="docketeer-", dir="/tmp")
+    return _local_folders[app]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
