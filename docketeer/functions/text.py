@@ -98,7 +98,11 @@ def ngrams(words: Column, n: int | Column) -> Column:
     def runs(held: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(held) - size + 1)
         grams = F.transform(starts, lambda i: F.array_join(F.slice(held, i, size), " "))
-        return F.when(F.size(held) >= size, grams).otherwise(F.array().cast("array<string>"))
+        return (
+            F.when(size == 1, held)
+            .when(F.size(held) >= size, grams)
+            .otherwise(F.array().cast("array<string>"))
+        )
 
     return bind(words, runs)
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator, Sequence
 import ahocorasick
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docketeer.functions import text as X
@@ -159,6 +159,12 @@ def step_counts(steps: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def watched(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
+    """The table, counting its rows as they pass: ``n`` of the observation, without a scan."""
+    seen = Observation(step)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def _consume(names: list[tuple[int, str]]):
     """A function from (text, fresh) to (hit positions, rest of the text, finished).
 

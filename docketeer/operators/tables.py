@@ -41,13 +41,9 @@ def only_unrepeated(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     the table is down to one row per task before the shuffle.
     """
     columns = list(columns or df.columns)
-    others = [c for c in df.columns if c not in columns]
-    n = F.count(F.lit(1)).alias("_n")
-    if not others:
-        return df.groupBy(*columns).agg(n).where("_n = 1").select(*df.columns)
-    row = F.any_value(F.struct(*others)).alias("_row")
-    once = df.groupBy(*columns).agg(n, row).where("_n = 1")
-    return once.select(*columns, "_row.*").select(*df.columns)
+    others = [F.any_value(c).alias(c) for c in df.columns if c not in columns]
+    once = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), *others).where("_n = 1")
+    return once.select(*df.columns)
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

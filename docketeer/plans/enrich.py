@@ -30,7 +30,11 @@ def normalize(
     titles: Sequence[str] = tuple(schema.TITLES),
     key: str = "id",
 ) -> DataFrame:
-    """Fill the five normalized lists; failed rows keep their reason and have none."""
+    """Fill the five normalized lists; failed rows keep their reason and have none.
+
+    ``key`` identifies a row. With a roster short enough for a literal this is one pass
+    over the table without a shuffle.
+    """
     checked = with_name_errors(flat)
     good = F.col("error_reason").isNull()
     out = checked
@@ -85,3 +89,16 @@ def classify(
     scores = bayes.score(docs, model, key, text, list(sizes.values()))
     chosen = bayes.choose_category(docs, scores, key, list(sizes))
     return checked.drop("category").join(chosen.select(key, "category"), key, "left")
+
+
+def enrich(
+    flat: DataFrame,
+    stop_words: Sequence[str],
+    roster: DataFrame,
+    model: bayes.Model,
+    sizes: dict[str, int],
+    key: str = "id",
+) -> DataFrame:
+    """Normalize, then classify; what a scheduled run does to its new verdicts."""
+    normalized = normalize(flat, stop_words, roster, key=key)
+    return classify(normalized, model, sizes, key)

@@ -36,11 +36,17 @@ def read_roster(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """(before, after) from a two-column CSV; of repeated keys one row stays."""
-    raw = spark.read.schema("before string, after string").option("escape", '"')
-    # Leading blanks belong to a key.
-    rows = raw.csv(path).select(_without_bom("before").alias("before"), "after")
-    return rows.where("before IS NOT NULL").groupBy("before").agg(F.min("after").alias("after"))
+    """(before, after) from a two-column CSV; the last row of a key wins.
+
+    Leading blanks belong to a key.
+    """
+    raw = spark.read.schema("before string, after string").option("escape", '"').csv(path)
+    place = F.struct(
+        "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()
+    )
+    rows = raw.select(_without_bom("before").alias("before"), "after", place.alias("_place"))
+    named = rows.where("before IS NOT NULL")
+    return named.groupBy("before").agg(F.max_by("after", "_place").alias("after"))
 
 
 def read_category_list(spark: SparkSession, path: str) -> DataFrame:

@@ -92,6 +92,9 @@ def test_summary_steps_and_status(spark):
     assert got == {"a": (3, 2, "x", 2), "b": (2, 1, "1", 2)}
     steps = counts.step_counts({"all": df, "some": df.where("a = 'x'")})
     assert {r.step: r.n for r in steps.collect()} == {"all": 3, "some": 2}
+    passed, seen = counts.watched(df.where("a = 'x'"), "some")
+    passed.collect()
+    assert seen.get == {"n": 2}
     status = counts.status_counts(df.withColumnRenamed("b", "error_reason"))
     assert {r.status: r.n for r in status.collect()} == {"failed": 2, "success": 1}
 

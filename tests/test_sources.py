@@ -136,7 +136,7 @@ def test_lists(spark, tmp_path):
         (2, ""),
         (3, "ג ד"),
     ]
-    put(tmp_path / "d.csv", "ד' ביניש,דורית ביניש\n כבוד א,ב\n")
+    put(tmp_path / "d.csv", "ד' ביניש,קודם\nד' ביניש,דורית ביניש\n כבוד א,ב\n")
     assert {tuple(r) for r in lists.read_dictionary(spark, str(tmp_path / "d.csv")).collect()} == {
         ("ד' ביניש", "דורית ביניש"),
         (" כבוד א", "ב"),
@@ -232,6 +232,26 @@ def test_stream_takes_new_files_only(spark, folder):
     assert once() - first == {("new.json", "success", 1)}
 
 
+def test_stream_with_a_model(spark, folder):
+    rows = [("Civil", "tax appeal court levy"), ("Family", "child law family home")] * 6
+    labelled = spark.createDataFrame(
+        [(str(i), t, c) for i, (c, t) in enumerate(rows)], "id string, summary string, category string"
+    )
+    sizes = {"Civil": 2, "Family": 1}
+    model, _ = enrich.train(labelled, "id", "summary", "category", sizes)
+    lines = roster_of(spark)
+    out = new_folder(spark, "enriched")
+    stream.run_enrichment(
+        stream.verdict_stream(spark, str(folder / "in")),
+        lambda raw: enrich.enrich(verdicts.flatten_verdicts(raw), ["של"], lines, model, sizes),
+        out,
+        new_folder(spark, "stream"),
+    ).awaitTermination()
+    got = {r.id: (r.status, r.category, r.judges_normalized) for r in spark.read.parquet(out).collect()}
+    assert got["12-20-1"] == ("success", "Civil", ROSTER)
+    assert got["list"] == ("failed", None, None)
+
+
 def test_stream_dictionary_is_first_wins_across_batches(spark, tmp_path):
     path, checkpoint = new_folder(spark, "dictionary"), new_folder(spark, "stream")
     start = spark.createDataFrame([("z", "Z")], "before string, after string")
