@@ -17,6 +17,8 @@ def local_session(cores: str = "8", app: str = "docketeer") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Lets the adaptive planner hash instead of sort where it measured small partitions.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .getOrCreate()
     )
 

@@ -118,6 +118,25 @@ def test_fit_follows_the_formulas(fitted):
     assert {(r.model, r.n_docs) for r in model.classes.collect()} == {("tax", 4), ("all", 4)}
 
 
+def test_a_text_may_be_in_a_data_set_more_than_once(spark):
+    rows = [*TEXTS, (1, TEXTS[0][1], 0), (3, TEXTS[2][1], 0), (2, TEXTS[1][1], 1), (4, TEXTS[3][1], 1)]
+    docs = spark.createDataFrame([t[:2] for t in TEXTS], "id long, text string")
+    members = spark.createDataFrame(
+        [("m", 1, y, i) for i, _, y in rows], "model string, n int, label int, id long"
+    )
+    plain, model = Plain(rows, 1), bayes.fit(members, docs, "id", "text")
+    assert model.classes.first().n_docs == 8
+    for r in model.terms.collect():
+        t = bytes(r.term).decode()
+        assert r.idf == pytest.approx(plain.idf[t])
+        assert (r.log_p0, r.log_p1) == pytest.approx((plain.log_p[0][t], plain.log_p[1][t]))
+    scored = {r.id: r.p for r in bayes.score(docs, model, "id", "text", [1]).collect()}
+    assert scored == pytest.approx({i: plain.p(t) for i, t, _ in TEXTS})
+    predicted = bayes.predict(members, docs, model, "id", "text")
+    assert predicted.count() == 8
+    assert all(r.p == pytest.approx(scored[r.id]) for r in predicted.collect())
+
+
 def test_scores_and_choice(spark, fitted):
     _, model = fitted
     texts = [(1, "an appeal to the tax court"), (2, "Child law"), (3, ""), (4, "unseen words")]
