@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import secrets
+from docketeer.llm import secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -29,8 +29,19 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document and the smallest document its links lead to."""
+    found = simhash.near_duplicates(_table(spark, folder, "documents", "doc_id", "text"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {}
