@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import secrets, simhash
+from docketeer.llm import decontaminate, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -29,6 +29,22 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a benchmark window, and the items found."""
+    found = decontaminate.contamination(
+        _table(spark, folder, "documents", "doc_id", "text"),
+        _table(spark, folder, "benchmark", "item_id", "text"),
+    )
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        decontaminate.item_digest(F.col("item_ids")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """The fingerprint of every document and the smallest document its links lead to."""
     found = simhash.near_duplicates(_table(spark, folder, "documents", "doc_id", "text"))
@@ -41,7 +57,43 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
+    "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": f"""
+        WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n,
+                   array_to_string(w[i:i + 9], ' ') AS said
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+                  FROM items WHERE len(w) > 0)
+        ),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs),
+        found AS (
+            SELECT d.doc_id, d.i, s.n, s.item_id
+            FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS said
+                  FROM starts, (SELECT DISTINCT n FROM windows) WHERE i + n - 1 <= len(w)) d
+            JOIN windows s ON s.said = d.said AND s.n = d.n
+        ),
+        hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+        ),
+        named AS (
+            SELECT doc_id, count(*) AS n_items,
+                   sha256(string_agg(item_id, ',' ORDER BY item_id COLLATE "C")) AS items_sha256
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+}
