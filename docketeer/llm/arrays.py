@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # The ASCII white space of the contracts: tab, line feed, vertical tab, form feed, return, blank.
 WHITE = tuple(range(9, 14)) + (32,)
@@ -83,6 +85,11 @@ def words(
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
+def with_row(df: DataFrame, ddl: str) -> StructType:
+    """The column ``row`` of a table, whatever names it holds, and the columns of ``ddl``."""
+    return StructType([df.schema["row"], *StructType.fromDDL(ddl).fields])
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer that spreads every bit (Steele, Lea, Flood 2014)."""
     h = h ^ (h >> np.uint64(30))

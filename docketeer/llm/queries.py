@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import decontaminate, secrets, simhash
+from docketeer.llm import decontaminate, factors, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts, base verdict and verdict with the model, for every document."""
+    documents = _table(spark, folder, "documents", "doc_id", "text")
+    model = quality.fit(documents, _table(spark, folder, "labels", "doc_id", "quality"))
+    found = quality.assess(documents, model)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), *quality.COUNTS, "base_failed", "kept", "probability"
+    )
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
     texts = _table(spark, folder, "documents", "doc_id", "text")
@@ -29,6 +39,18 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_factors(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learned from two thirds of the labelled ones."""
+    documents = _table(spark, folder, "documents", "doc_id", "text", "n_chars")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    labels = _table(spark, folder, "labels", "doc_id", "quality")
+    machine = factors.fit(documents, labels, where=remainder != 1)
+    found = factors.score(documents, machine)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    ).select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside a benchmark window, and the items found."""
     found = decontaminate.contamination(
@@ -56,7 +78,9 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
+    "op7_factors": op7_factors,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
 }
