@@ -38,6 +38,10 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+# Everything that is no word byte of a lower-cased text, as a blank, for bytes.translate.
+CLEAN = bytes(b if ALPHANUMERIC[b] else 32 for b in _LOWER.tolist())
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the start of each text, with the end last; null is empty."""
     column = pa.concat_arrays([column.cast(pa.large_string()).fill_null("")])

@@ -21,10 +21,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # the texts pass one after the other in the same task.
 BLOCK_LETTERS = 8_000_000
 
-# Everything that is no word byte of a lower-cased text, as a blank.
-_CLEAN = bytes(
-    b if A.ALPHANUMERIC[b] else 32 for b in A.lowered(np.arange(256, dtype=np.uint8)).tolist()
-)
 _WORD = re.compile(rb"[^ ]+")
 _automata: dict[str, ahocorasick.Automaton] = {}
 
@@ -57,7 +53,7 @@ def _automaton(name: str, block: Broadcast) -> ahocorasick.Automaton:
 
 def _hits(automaton: ahocorasick.Automaton, data: bytes) -> tuple[list[tuple[int, int]], set[str]]:
     """Ranges of words that windows cover, and the items they come from."""
-    words = data.translate(_CLEAN).split()
+    words = data.translate(A.CLEAN).split()
     if not words:
         return [], set()
     said = f" {b' '.join(words).decode()} "
@@ -127,7 +123,7 @@ def _scan(rows: DataFrame, text: str, block: Broadcast) -> DataFrame:
             for value, (hits, items) in zip(texts, before, strict=True):
                 data = (value.as_py() or "").encode()
                 ranges, found = _hits(automaton, data) if len(automaton) else ([], set())
-                clean = data.translate(_CLEAN)
+                clean = data.translate(A.CLEAN)
                 n_words.append(len(clean.split()))
                 if ranges:
                     marks = A.covered(*np.array(ranges).T, n_words[-1])

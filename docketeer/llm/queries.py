@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import decontaminate, factors, quality, secrets, simhash
+from docketeer.llm import decontaminate, factors, licenses, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -24,6 +24,22 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases of every document, and the labels of phrases and templates."""
+    found = licenses.license_scan(_table(spark, folder, "documents", "doc_id", "text"))
+    named = lambda *lists: F.array_join(F.array_sort(F.array_distinct(F.transform(F.concat(*lists), lambda s: s["label"]))), ",")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        named("base").alias("base_labels"),
+        named("base", "matches").alias("labels"),
+        "score",
+    )
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
     texts = _table(spark, folder, "documents", "doc_id", "text")
@@ -79,6 +95,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op6_secrets": op6_secrets,
     "op7_factors": op7_factors,
     "op8_decontaminate": op8_decontaminate,
