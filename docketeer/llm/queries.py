@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import decontaminate, factors, licenses, quality, secrets, simhash
+from docketeer.llm import decontaminate, factors, licenses, mixing, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    documents = _table(spark, folder, "documents", "doc_id", "source", "text")
+    return mixing.plan_mix(documents).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts, base verdict and verdict with the model, for every document."""
     documents = _table(spark, folder, "documents", "doc_id", "text")
@@ -94,6 +102,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_secrets": op6_secrets,
