@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import decontaminate, factors, licenses, mixing, quality, secrets, simhash
+from docketeer.llm import decontaminate, factors, licenses, mixing, quality, secrets, simhash, suffixdedup
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -101,6 +101,14 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document without the 400-byte strings that also stand elsewhere."""
+    found = suffixdedup.remove_repeats(_table(spark, folder, "documents", "doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_quality": op4_quality,
@@ -109,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_factors": op7_factors,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash": op9_simhash,
+    "op10_suffixes": op10_suffixes,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
