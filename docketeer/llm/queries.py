@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import decontaminate, factors, licenses, mixing, quality, secrets, simhash, suffixdedup
+from docketeer.llm import anchors, decontaminate, factors, licenses, mixing, quality, secrets, simhash, suffixdedup
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document without the 20-word windows that also start earlier."""
+    found = anchors.remove_repeated_runs(_table(spark, folder, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts, base verdict and verdict with the model, for every document."""
     documents = _table(spark, folder, "documents", "doc_id", "text")
@@ -111,6 +117,7 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_anchors": op3_anchors,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_secrets": op6_secrets,
