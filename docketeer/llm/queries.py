@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketeer.llm import anchors, decontaminate, factors, licenses, mixing, quality, secrets, simhash, suffixdedup
+from docketeer.llm import anchors, decontaminate, factors, licenses, mixing, pages, quality, secrets, simhash, suffixdedup
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.main_text(_table(spark, folder, "pages", "page_id", "url", "html"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op3_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """What stays of every document without the 20-word windows that also start earlier."""
     found = anchors.remove_repeated_runs(_table(spark, folder, "documents", "doc_id", "text"))
@@ -117,6 +125,7 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_pages": op2_pages,
     "op3_anchors": op3_anchors,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
