@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketeer.llm import arrays as A
@@ -165,3 +165,29 @@ def near_duplicates(
     least = classes.groupBy("root").agg(F.min("least").alias("component"))
     named = classes.join(least, "root").select(F.col("f").alias("fingerprint"), "component")
     return docs.join(named, "fingerprint").select("key", "fingerprint", "component")
+
+
+def keep_one(
+    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, distance: int = 2
+) -> DataFrame:
+    """The rows of ``df`` without near duplicates: one row of each component stays.
+
+    It is the row with the smallest key that is not null; of rows with that key, one of the text
+    with the smallest hash, and of repeated rows any one, as they are alike in key and text.
+    Columns of any name may be there; an empty table gives an empty one.
+    """
+    said = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    named = F.struct(F.col(f"`{key}`").isNull().alias("n"), F.col(f"`{key}`").alias("k"), said.alias("t"))
+    found = near_duplicates(df.select(named.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", size, distance)
+    kept = found.where(F.col("key") == F.col("component")).select("key.*").distinct()
+    kept = kept.select("n", F.coalesce(F.col("k").cast("string"), F.lit("")).alias("k"), "t")
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    rows = df.select(
+        whole,
+        F.col(f"`{key}`").isNull().alias("n"),
+        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("k"),
+        said.alias("t"),
+    ).join(kept, ["n", "k", "t"], "left_semi")
+    content = F.xxhash64(*(F.col(f"row.`{c}`") for c in df.columns))
+    numbered = rows.withColumn("i", F.row_number().over(Window.partitionBy("n", "k", "t").orderBy(content)))
+    return numbered.where("i = 1").select("row.*")
