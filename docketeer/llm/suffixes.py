@@ -13,6 +13,11 @@ from __future__ import annotations
 import numpy as np
 
 
+def _places(n: int) -> type:
+    """The narrow numbers that positions of a text fit in, as memory traffic is what costs."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def _smaller(text: np.ndarray) -> np.ndarray:
     """Which suffixes are of type S; the last one, the end mark, is."""
     n = len(text)
@@ -21,7 +26,7 @@ def _smaller(text: np.ndarray) -> np.ndarray:
     decided = np.ones(n, bool)
     decided[:-1] = text[:-1] != text[1:]
     # Equal neighbours have the type of the next place that differs.
-    at = np.where(decided, np.arange(n), n - 1)
+    at = np.where(decided, np.arange(n, dtype=_places(n)), n - 1)
     return rises[np.minimum.accumulate(at[::-1])[::-1]]
 
 
@@ -77,7 +82,7 @@ def _induce(
     text: np.ndarray, small: np.ndarray, lms: np.ndarray, ends: np.ndarray
 ) -> np.ndarray:
     """All suffixes in order, from the LMS suffixes in order (or, of their substrings, in any)."""
-    out = np.full(len(text), -1, np.int64)
+    out = np.full(len(text), -1, _places(len(text)))
     starts = np.concatenate([[0], ends[:-1]])
     # The LMS suffixes go to the ends of their symbols' ranges, in their order.
     symbols = text[lms]
@@ -90,13 +95,15 @@ def _induce(
     # The S suffixes are found anew, so their places are cleared.
     out[(out >= 0) & small[out]] = -1
     out[0] = len(text) - 1
-    _sweep(text, out, small & (np.arange(len(text)) < len(text) - 1), ends - 1, False)
+    small = small.copy()
+    small[-1] = False
+    _sweep(text, out, small, ends - 1, False)
     return out
 
 
 def _names(text: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Rank of each LMS substring of ``ordered``, equal ones alike."""
-    length = np.zeros(len(text), np.int64)
+    length = np.zeros(len(text), lms.dtype)
     length[lms[:-1]] = np.diff(lms)
     a, b = ordered[:-1], ordered[1:]
     same = length[a] == length[b]
@@ -115,7 +122,7 @@ def _sorted(text: np.ndarray) -> np.ndarray:
     if len(text) == 1:
         return np.zeros(1, np.int64)
     small = _smaller(text)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(_places(len(text)))
     ends = np.cumsum(np.bincount(text, minlength=int(text.max()) + 1))
     if len(lms) > 1:
         rough = _induce(text, small, lms, ends)
@@ -124,7 +131,7 @@ def _sorted(text: np.ndarray) -> np.ndarray:
         ordered = rough[first[rough]]
         names = _names(text, ordered, lms)
         if names[-1] + 1 < len(lms):
-            named = np.zeros(len(text), np.int64)
+            named = np.zeros(len(text), np.uint16 if names[-1] < 65_000 else np.int32)
             named[ordered] = names
             ordered = lms[_sorted(named[lms])]
         lms = ordered
