@@ -27,7 +27,7 @@ from docketeer.llm import spans as P
 from docketeer.llm import suffixes
 from docketeer.session import settled
 
-LENGTH, PROBE = 400, 64
+LENGTH, PROBE = 400, 128
 # Bytes of a shard, and the different regions of one hash from which windows are counted instead.
 SHARD_BYTES, MOST_REGIONS = 2 << 20, 2000
 
