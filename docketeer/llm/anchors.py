@@ -132,7 +132,7 @@ def _window_entries(docs: DataFrame, shards: int) -> DataFrame:
                 own = _Slice(part, data, offsets)
                 mine = lists.slice(row, part.num_rows)
                 row += part.num_rows
-                joined = [np.frombuffer(b"".join(x), np.int32) for x in mine.to_pylist()]
+                joined = [np.frombuffer(x, np.int32) for x in mine.to_pylist()]
                 sizes = [len(x) for x in joined]
                 anchor = np.concatenate(joined) + np.repeat(own.bounds[:-1], sizes)
                 low = np.maximum(anchor - PERIOD + 1, np.repeat(own.bounds[:-1], sizes))
@@ -153,11 +153,16 @@ def _window_entries(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _marked(
-    entries: DataFrame, kind: type, find: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    entries: DataFrame,
+    shards: int,
+    kind: type,
+    find: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
 ) -> DataFrame:
     """(uid, places): for each document the places that ``find`` marks in a shard, and the known.
 
-    ``find`` gets hashes, ids and places of all entries of a shard. Places are packed integers.
+    ``find`` gets hashes, ids and places of all entries of a shard. What it marks goes back in
+    as many parcels as there are shards, by document, and leaves these as one row for each
+    document, its places packed as integers.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -175,15 +180,32 @@ def _marked(
         marks = find(join(hashes), join(ids), join(places))
         uid = join([join(uids)[marks], *told_uids])
         place = join([join(places)[marks], *told])
+        to = (uid.view(np.uint64) % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((uid, to))
+        to, uid, place = to[order], uid[order], place[order]
+        rows = []
+        for s in np.unique(to):
+            part = slice(*np.searchsorted(to, [s, s + 1]))
+            own, sizes = np.unique(uid[part], return_counts=True)
+            rows.append((int(s), own.tobytes(), sizes.astype(np.int32).tobytes(), place[part].tobytes()))
+        return pd.DataFrame(rows, columns=["parcel", "uids", "sizes", "places"])
+
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        uids = [np.frombuffer(x, np.int64) for x in group["uids"]]
+        sizes = [np.frombuffer(x, np.int32) for x in group["sizes"]]
+        uid = np.concatenate([np.repeat(u, n) for u, n in zip(uids, sizes, strict=True)])
+        place = np.concatenate([np.frombuffer(x, np.int32) for x in group["places"]])
         order = np.argsort(uid, kind="stable")
         uid, place = uid[order], place[order]
-        new = np.flatnonzero(np.diff(uid, prepend=uid[:1] - 1)) if len(uid) else np.zeros(0, int)
-        ends = np.append(new[1:], len(uid))
-        packed = [place[s:e].tobytes() for s, e in zip(new, ends, strict=True)]
-        return pd.DataFrame({"uid": uid[new], "places": packed})
+        own, first = np.unique(uid, return_index=True)
+        ends = np.append(first[1:], len(uid))
+        packed = [place[s:e].tobytes() for s, e in zip(first, ends, strict=True)]
+        return pd.DataFrame({"uid": own, "places": packed})
 
-    found = entries.groupBy("shard").applyInPandas(run, "uid long, places binary")
-    return found.groupBy("uid").agg(F.collect_list("places").alias("places"))
+    parcels = entries.groupBy("shard").applyInPandas(
+        run, "parcel int, uids binary, sizes binary, places binary"
+    )
+    return parcels.groupBy("parcel").applyInPandas(gather, "uid long, places binary")
 
 
 def _shared(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -219,7 +241,7 @@ def _cut(docs: DataFrame) -> DataFrame:
                 words = (text.as_py() or b"").split()
                 kept = words
                 if some:
-                    at = np.frombuffer(b"".join(some), np.int32).astype(np.int64)
+                    at = np.frombuffer(some, np.int32).astype(np.int64)
                     gone = A.covered(at, at + SIZE, len(words))
                     kept = [words[i] for i in np.flatnonzero(~gone)]
                 said = b" ".join(kept)
@@ -250,7 +272,7 @@ def remove_repeated_runs(
     """
     shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = _with_uid(df, key, text)
-    anchors = _marked(_anchor_entries(docs, shards), np.uint32, _shared)
+    anchors = _marked(_anchor_entries(docs, shards), shards, np.uint32, _shared)
     near = docs.join(anchors, "uid")
-    removed = _marked(_window_entries(near, shards), np.uint64, _later)
+    removed = _marked(_window_entries(near, shards), shards, np.uint64, _later)
     return _cut(docs.join(removed, "uid", "left"))
