@@ -166,12 +166,63 @@ def strip_apostrophes(name: Column) -> Column:
     return F.translate(name, APOSTROPHES, "")
 
 
+def split_legal(names: Column) -> Column:
+    """Judges and attorneys before the word lists: unwanted pieces, splits at ';' and ','."""
+    return split_at(split_at(remove_unwanted_each(names), ";"), ",")
+
+
+def finish_legal(names: Column) -> Column:
+    """Judges and attorneys after the word lists: pairing, punctuation."""
+    return strip_punctuation_each(pair_up(names))
+
+
 def legal_names(names: Column, titles: Sequence[str], stop_words: Sequence[str]) -> Column:
     """Judges and attorneys: unwanted pieces, splits at ';' and ',', titles, stop words,
     pairing, punctuation."""
-    split = split_at(split_at(remove_unwanted_each(names), ";"), ",")
+    bare = without_words_each(without_words_each(split_legal(names), titles), stop_words)
+    return finish_legal(bare)
+
+
+def split_all(names: Column, mark: str) -> Column:
+    """Split each name at ``mark``; all parts are kept, squeezed."""
+    return F.flatten(
+        F.transform(names, lambda n: F.transform(F.split(n, _quoted(mark)), squeeze))
+    )
+
+
+def _quoted(mark: str) -> str:
+    return "\\Q" + mark + "\\E"
+
+
+def pair_clean(names: Column) -> Column:
+    """Three tokens become 'first last-last', an even row of over two couples; others stay.
+
+    Each name is looked at by itself. Of two tokens the one with a hyphen goes last.
+    """
+
+    def parts_of(name: Column) -> Column:
+        return bind(
+            tokens(name),
+            lambda parts: F.when(_pairable(parts), _pairs(parts)).otherwise(
+                F.array(F.array_join(parts, " "))
+            ),
+        )
+
+    swap = lambda name: F.regexp_replace(name, r"^([^ ]*-[^ ]*) ([^ -]+)$", "$2 $1")
+    return F.transform(F.flatten(F.transform(names, parts_of)), swap)
+
+
+def legal_names_clean(names: Column, titles: Sequence[str], stop_words: Sequence[str]) -> Column:
+    """Judges and attorneys without the losses of :func:`legal_names`.
+
+    All parts of a split are kept, a name that cannot be paired stays as it is and changes no
+    other, no name is cut to two tokens, and hyphens survive the punctuation.
+    """
+    split = split_all(split_all(remove_unwanted_each(names), ";"), ",")
     bare = without_words_each(without_words_each(split, titles), stop_words)
-    return strip_punctuation_each(pair_up(bare))
+    marks = PUNCTUATION.replace("-", "")
+    stripped = F.transform(pair_clean(bare), lambda n: squeeze(F.translate(n, marks, "")))
+    return F.array_remove(stripped, "")
 
 
 def party_names(names: Column) -> Column:

@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-import sys
-from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import ahocorasick
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docketeer.functions import text as X
-from docketeer.operators.joins import exploded
+from docketeer.functions.names import bind
+from docketeer.operators.joins import exploded, key_filter, passing
 from docketeer.operators.tables import unpivot_names
 from docketeer.session import settled
 
-# Tasks get the helpers below by value, as executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Names per pass of the consuming count; each pass ships one such piece to the tasks.
-NAMES_PER_PASS = 200_000
-
 
 def distinct_names(df: DataFrame, key: str, roles: Sequence[str]) -> DataFrame:
     return unpivot_names(df, key, roles).select("role", "name").distinct()
@@ -68,14 +58,14 @@ def category_shares(df: DataFrame, label: str) -> DataFrame:
 def subcategory_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per (category, sub_category) and a '<category> Total' row for each category.
 
-    The sub-category is part two, or 'two - three' for labels of exactly three parts.
+    The sub-category is part two, or 'two - three' for labels of exactly three parts. A label
+    of one part has none: it counts in a row whose sub-category is null, and in the total.
     """
     parts = F.split(label, " - ")
     two = F.get(parts, 1)
     sub = F.when(F.size(parts) == 3, F.concat_ws(" - ", two, F.get(parts, 2))).otherwise(two)
     rolled = (
         df.select(F.get(parts, 0).alias("category"), sub.alias("sub_category"))
-        .where("sub_category IS NOT NULL")
         .rollup("category", "sub_category")
         .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_level"))
         .where("_level < 3")
@@ -106,8 +96,11 @@ def date_span(df: DataFrame, date_text: str, pattern: str = "d/M/yyyy") -> DataF
     )
 
 
-def undated(df: DataFrame, key: str, date_text: str) -> DataFrame:
-    return df.where(F.col(date_text).isNull()).select(key)
+def undated(
+    df: DataFrame, key: str, date_text: str, pattern: str = "d/M/yyyy"
+) -> DataFrame:
+    """Keys of the rows without a date, or with a text that is none."""
+    return df.where(F.try_to_date(F.col(date_text), pattern).isNull()).select(key)
 
 
 def word_counts(
@@ -165,119 +158,181 @@ def watched(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def _consume(names: list[tuple[int, str]]):
-    """A function from (text, fresh) to (hit positions, rest of the text, finished).
+# Letters of a name by which it is looked up in texts.
+PROBE = 8
+
 
-    In table order, a name found in what is left of the text counts once and is erased
-    everywhere; the text being blank after a name ends the search. An automaton finds
-    the names present, and runs again after an erasure, as that can join new ones.
+def _entries(names: DataFrame, columns: Sequence[str], pos: str) -> DataFrame:
+    """(kind, pos, name): every name that is not null, once under each position and column."""
+    lists = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("name")) for c in columns))
+    rows = names.select(F.col(pos).alias("pos"), F.explode(lists).alias("_e"))
+    return rows.select("_e.kind", "pos", "_e.name").where("name IS NOT NULL").distinct()
+
+
+def _met(texts: DataFrame, entries: DataFrame, sizes: Sequence[int], bits: DataFrame) -> DataFrame:
+    """(digest, kind, pos, name) of the entries that share their first letters with a text.
+
+    ``texts`` has digest, text and, where not all kinds are wanted, kind. Of every place of a
+    text the next letters are looked up; all but the likely ones go before anything is shuffled.
     """
-    machine = ahocorasick.Automaton()
-    empties = [i for i, (_, name) in enumerate(names) if name == ""]
-    places: dict[str, list[int]] = {}
-    for i, (_, name) in enumerate(names):
-        if name:
-            places.setdefault(name, []).append(i)
-    for name, at in places.items():
-        machine.add_word(name, at)
-    if places:
-        machine.make_automaton()
-
-    def present(text: str, after: int) -> int | None:
-        best = None
-        found = (at for _, at in machine.iter(text)) if places and text else ()
-        for at in (*found, empties):
-            j = bisect_right(at, after)
-            if j < len(at) and (best is None or at[j] < best):
-                best = at[j]
-        return best
-
-    def run(text: str) -> tuple[list[int], str, bool]:
-        if not text.strip():
-            # A blank text meets the very first name and no other.
-            return [names[0][0]] if names[0][1] in text else [], text, True
-        hits: list[int] = []
-        i = present(text, -1)
-        while i is not None:
-            hits.append(names[i][0])
-            if names[i][1]:
-                text = text.replace(names[i][1], "")
-                if not text.strip():
-                    return hits, text, True
-            i = present(text, i)
-        return hits, text, False
-
-    return run
+    by = [c for c in ("digest", "kind") if c in texts.columns]
+    windows = F.array_distinct(
+        F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{PROBE}}}))"), F.lit(1))
+    )
+    probes = exploded(texts, by, windows, "_w")
+    if not sizes:
+        return entries.select(F.lit("").alias("digest"), "kind", "pos", "name").limit(0)
+    keys = F.array(
+        *(F.when(F.length("_w") >= n, F.xxhash64(F.lit(n), F.substring("_w", 1, n))) for n in sizes)
+    )
+    likely = passing(exploded(probes, by, keys, "_key"), "_key", bits).distinct()
+    on = ["_key", "kind"] if "kind" in by else ["_key"]
+    return likely.join(entries, on).select("digest", "kind", "pos", "name").distinct()
 
 
-def consuming_counts(
-    texts: DataFrame, text: str, names: DataFrame, name: str, pos: str = "pos"
+def _folded(
+    texts: DataFrame, met: DataFrame, empties: DataFrame, kinds: Sequence[str], longest: int
 ) -> DataFrame:
-    """(pos, name, n): the texts in which each name is met when names erase what they match.
+    """(digest, kind, n, hits, joints): the names met by each text, in order, and new joints.
 
-    The erasing makes the order of the names matter, so a text is worked through in one
-    row. Long name tables go over the texts in several passes of ``NAMES_PER_PASS`` names
-    in order; what is left of each unfinished text is checkpointed between passes.
+    In the order of the table a name found in what is left of the text is a hit and is erased
+    everywhere; the text being blank after that ends the search. ``joints`` are the places where
+    an erasure put two parts together, with as many letters around as a name may have.
     """
-    ordered = names.select(F.col(pos).alias("pos"), F.col(name).alias("name"))
-    valid = ordered.where("name IS NOT NULL")
-    left = texts.select(F.col(text).alias("text")).where(F.col(text).isNotNull())
-    parts: list[DataFrame] = []
-    start = None
-    while True:
-        ahead = valid if start is None else valid.where(F.col("pos") > F.lit(start))
-        piece = ahead.orderBy("pos").limit(NAMES_PER_PASS + 1).collect()
-        more = len(piece) > NAMES_PER_PASS
-        piece = [(r.pos, r.name) for r in piece[:NAMES_PER_PASS]]
-        if not piece:
-            break
-        shipped = texts.sparkSession.sparkContext.broadcast(piece)
-
-        def scan(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            run = _consume(shipped.value)
-            for batch in batches:
-                done = [run(t) for t in batch["text"]]
-                yield pd.DataFrame(
-                    {
-                        "hits": [d[0] for d in done],
-                        "text": [d[1] for d in done],
-                        "finished": [d[2] for d in done],
-                    }
-                )
-
-        scanned = left.mapInPandas(scan, "hits array<bigint>, text string, finished boolean")
-        if more:
-            scanned = settled(scanned)
-        parts.append(scanned.select(F.explode("hits").alias("pos")))
-        if not more:
-            break
-        left = scanned.where("NOT finished").select("text")
-        start = piece[-1][0]
-    if not parts:
-        return ordered.select("pos", "name", F.lit(0).cast("long").alias("n"))
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
-    counted = hits.groupBy("pos").agg(F.count(F.lit(1)).alias("n"))
-    return ordered.join(counted, "pos", "left").select(
-        "pos", "name", F.coalesce("n", F.lit(0)).cast("long").alias("n")
+    entry = F.struct("pos", "name")
+    lists = met.groupBy("digest", "kind").agg(F.collect_list(entry).alias("_own"))
+    nothing = F.array().cast(lists.schema["_own"].dataType)
+    if kinds:
+        each = texts.select("digest", F.explode(F.array(*map(F.lit, kinds))).alias("kind"))
+        lists = lists.join(each, ["digest", "kind"], "full_outer")
+    held = texts.select("digest", "text", "n").join(lists, "digest")
+    listed = held.join(F.broadcast(empties), "kind", "left")
+    names = F.array_sort(F.concat(F.coalesce("_own", nothing), F.coalesce("_empties", nothing)))
+    start = F.struct(
+        F.col("text").alias("text"),
+        nothing.alias("hits"),
+        F.array().cast("array<string>").alias("joints"),
+        F.lit(False).alias("done"),
     )
 
+    def step(state: Column, entry: Column) -> Column:
+        name = entry["name"]
+        hit = ~state["done"] & F.contains(state["text"], name)
+
+        def erased(parts: Column) -> Column:
+            left = F.array_join(parts, "")
+            ends = F.aggregate(
+                F.slice(parts, 1, F.size(parts) - 1),
+                F.array(F.lit(0)),
+                lambda at, part: F.concat(at, F.array(F.element_at(at, -1) + F.length(part))),
+            )
+            around = F.transform(
+                F.slice(ends, 2, F.size(ends)),
+                lambda at: F.substr(
+                    left, F.greatest(at - longest + 2, F.lit(1)), F.least(at, F.lit(longest - 1)) + longest - 1
+                ),
+            )
+            return F.struct(
+                left.alias("text"),
+                F.concat(state["hits"], F.array(entry)).alias("hits"),
+                F.array_distinct(F.concat(state["joints"], around)).alias("joints"),
+                _blank(left).alias("done"),
+            )
+
+        counted = F.struct(
+            state["text"].alias("text"),
+            F.concat(state["hits"], F.array(entry)).alias("hits"),
+            state["joints"].alias("joints"),
+            F.lit(False).alias("done"),
+        )
+        quoted = F.replace(name, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+        parts = F.split(state["text"], F.concat(F.lit("\\Q"), quoted, F.lit("\\E")))
+        cut = bind(parts, erased)
+        return F.when(~hit, state).when(name == "", counted).otherwise(cut)
+
+    folded = listed.withColumn("_f", F.aggregate(names, start, step))
+    return folded.select("digest", "kind", "n", F.col("_f.hits").alias("hits"), F.col("_f.joints").alias("joints"))
+
+
+def _blank(text: Column) -> Column:
+    return text.rlike(r"(?U)\A[\s\x1c-\x1f]*\z")
+
 
 def normalized_name_counts(
-    df: DataFrame, key: str, roles: Sequence[str], names: DataFrame, pos: str = "pos"
+    df: DataFrame,
+    key: str,
+    roles: Sequence[str],
+    names: DataFrame,
+    pos: str = "pos",
+    columns: Sequence[str] = ("full_name", "first_name", "last_name"),
 ) -> DataFrame:
-    """The name table with count_full_name, count_first_name and count_last_name.
-
-    The text of a (verdict, role) is its names joined by a space. Each of the three
-    columns is counted over the full texts.
+    """The name table with ``count_<column>``: the texts in which each name is met.
+
+    The text of a (verdict, role) is its names joined by a space. In the order of the table, by
+    position and then name, a name that is found in what is left of a text counts once and is
+    erased from it, so that later names do not meet it; a text that is blank after that is done,
+    and one that is blank from the start meets the very first name at most. Each column is
+    counted over the full texts; an empty name meets whatever is left.
+
+    Names stay a table: a text is joined to the names whose first letters it holds, and these
+    are tried in order within its row. An erasure may put letters together that form another
+    name, so the joints it made are looked up as well, and texts with such a name are done
+    again, until no text has a new one.
     """
     per_role = F.array(*(F.array_join(r, " ") for r in roles))
-    texts = df.select(F.explode(per_role).alias("_text"))
+    texts = df.select(F.explode(per_role).alias("text")).where("text IS NOT NULL")
+    texts = texts.groupBy(F.md5("text").alias("digest")).agg(
+        F.any_value("text").alias("text"), F.count(F.lit(1)).alias("n")
+    )
+    texts = settled(texts, "texts")
+    entries = settled(_entries(names, columns, pos), "entries")
+    longest = entries.agg(F.max(F.length("name"))).first()[0] or 1
+    size = F.least(F.length("name"), F.lit(PROBE))
+    sizes = sorted(r[0] for r in entries.where("name <> ''").select(size).distinct().collect())
+    # One row for each column, in this and the next table.
+    first = entries.groupBy("kind").agg(F.min(F.struct("pos", "name")).alias("f")).select("kind", "f.*")
+    empties = entries.where("name = ''").groupBy("kind").agg(
+        F.collect_list(F.struct("pos", "name")).alias("_empties")
+    )
+    keyed = entries.where("name <> ''").withColumn("_key", F.xxhash64(size, F.substr("name", F.lit(1), size)))
+    keyed = settled(keyed, "keys")
+    bits = settled(key_filter(keyed, "_key"), "bits")
+
+    full = texts.where(~_blank(F.col("text")))
+    met = settled(_met(full, keyed, sizes, bits), "met")
+    kinds = [r[0] for r in empties.select("kind").collect()]
+    while True:
+        folded = settled(_folded(full, met, empties, kinds, longest), "folded")
+        joints = folded.where("size(joints) > 0").select("digest", "kind", F.explode("joints").alias("text"))
+        more = _met(joints, keyed, sizes, bits).join(met, ["digest", "kind", "pos", "name"], "left_anti")
+        more = settled(more, "more")
+        if more.isEmpty():
+            break
+        met = settled(met.unionByName(more), "met")
+    hits = folded.select("kind", "n", F.explode("hits").alias("_h")).select("kind", "_h.pos", "_h.name", "n")
+    firsts = [F.struct(*(F.lit(r[c]).alias(c) for c in ("kind", "pos", "name"))) for r in first.collect()]
+    if firsts:
+        blank = texts.where(_blank(F.col("text"))).select("text", "n", F.explode(F.array(*firsts)).alias("_h"))
+        blank = blank.where(F.contains("text", "_h.name"))
+        hits = hits.unionByName(blank.select("_h.kind", "_h.pos", "_h.name", "n"))
+    counted = hits.groupBy("kind", "pos", "name").agg(F.sum("n").alias("n"))
     out = names
-    for column in ("full_name", "first_name", "last_name"):
-        counted = consuming_counts(texts, "_text", names, column, pos).select(
-            F.col("pos").alias(pos), F.col("n").alias(f"count_{column}")
+    for column in columns:
+        of_kind = counted.where(F.col("kind") == column).select(
+            F.col("pos").alias("_pos"), F.col("name").alias("_name"), F.col("n").alias("_n")
         )
-        out = out.join(counted, pos)
+        same = F.col(pos).eqNullSafe(F.col("_pos")) & (F.col(column) == F.col("_name"))
+        out = out.join(of_kind, same, "left").withColumn(
+            f"count_{column}", F.coalesce("_n", F.lit(0)).cast("long")
+        ).drop("_pos", "_name", "_n")
     return out
+
+
+def consuming_counts(
+    texts: DataFrame, text: str, names: DataFrame, name: str, pos: str = "pos"
+) -> DataFrame:
+    """(pos, name, n) for one name column and texts that are at hand as such."""
+    ordered = names.select(F.col(pos).alias("pos"), F.col(name).alias("name"))
+    rows = texts.where(F.col(text).isNotNull()).select(F.array(text).alias("_text"))
+    counted = normalized_name_counts(rows, "", ["_text"], ordered, "pos", ["name"])
+    return counted.select("pos", "name", F.col("count_name").alias("n"))

@@ -1,4 +1,4 @@
-"""A lookup join that spreads hot keys, and keys for joining words within a few edits."""
+"""A lookup join that spreads hot keys, a broadcast filter for keys, and fuzzy word joins."""
 
 from __future__ import annotations
 
@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of all rows, so at most 1000 keys are.
-HOT_SHARE = 0.001
-SALTS = 64
+# A key is split so that no task gets more than this share of all rows from it, or more than
+# TASK_ROWS where that is more. So at most 1 / TASK_SHARE keys are split.
+TASK_SHARE = 1 / 20_000
+TASK_ROWS = 100_000
+
+# Bits of a key filter: at most FILTER_BITS / 64 rows of two numbers, 4 MB.
+FILTER_BITS = 1 << 24
 
 
 def exploded(df: DataFrame, keys: Sequence[str], array: Column | str, name: str) -> DataFrame:
@@ -22,9 +26,12 @@ def exploded(df: DataFrame, keys: Sequence[str], array: Column | str, name: str)
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
-    """The keys of ``counts`` with more than ``HOT_SHARE`` of the total: 1000 rows at most."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.where(F.col(n) > total * HOT_SHARE).select(*keys, F.lit(True).alias("_hot"))
+    """The keys with more rows than a task should get, and into how many parts each goes.
+
+    At most 1 / TASK_SHARE rows, so the table may be broadcast.
+    """
+    most = F.greatest(F.lit(float(TASK_ROWS)), counts.agg(F.sum(n)).scalar() * TASK_SHARE)
+    return counts.where(F.col(n) > most).select(*keys, F.ceil(F.col(n) / most).alias("_parts"))
 
 
 def lookup(
@@ -38,46 +45,84 @@ def lookup(
 ) -> DataFrame:
     """Join ``left`` to the lookup table ``right``; a hot key never lands in one task.
 
-    Rows of a hot key go to ``SALTS`` partitions by a hash of the ``spread`` columns,
-    which should tell them apart, and the lookup rows of that key are repeated for each.
-    The salt is a plain hash, so a recomputed partition gives the same rows again.
-    ``counts`` may be given where row counts per key are known.
+    Where the rows per key are known, as ``counts``, rows of a hot key go to as many
+    partitions as its rows need, by a hash of the ``spread`` columns, which should tell them
+    apart, and the lookup rows of that key are repeated for each. The salt is a plain hash, so
+    a recomputed partition gives the same rows again. Without counts the left side is not read
+    for them: the adaptive planner splits what it finds too large.
     """
     keys = list(keys)
     if counts is None:
-        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_column))
+        return left.join(right, keys, how)
     hot = F.broadcast(hot_keys(counts, keys, count_column))
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    repeated = right.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.coalesce(copies, F.array(F.lit(0))))
-    )
-    return salted.drop("_hot").join(repeated.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")), F.lit(0))
+    salted = left.join(hot, keys, "left").withColumn("_salt", salt)
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
+    return salted.drop("_parts").join(repeated.drop("_parts"), [*keys, "_salt"], how).drop("_salt")
 
 
-def deletion_keys(word: Column, edits: int) -> Column:
-    """Hashes of the word with up to ``edits`` letters left out.
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(_word, _bits): the bits that the 64-bit hashes in ``key`` set, 64 to a row.
 
-    Two words within k edits share a word that both reach by leaving out at most k
-    letters, so an equi-join on these keys meets every such pair. Few others meet: a
-    key of m letters is shared by about m times the alphabet distinct words for k = 1.
+    However many keys there are, it has FILTER_BITS / 64 rows at most; with very many of them
+    it lets everything pass.
     """
+    return keys.groupBy(_filter_word(key)).agg(F.bit_or(_filter_bit(key)).alias("_bits"))
+
+
+def passing(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """The rows whose key may be among those of a :func:`key_filter`, found without a shuffle."""
+    met = df.withColumn("_word", _filter_word(key)).join(F.broadcast(bits), "_word")
+    return met.where(F.col("_bits").bitwiseAND(_filter_bit(key)) != 0).drop("_word", "_bits")
+
+
+def _filter_word(key: str) -> Column:
+    return F.pmod(F.shiftright(F.col(key), 6), F.lit(FILTER_BITS // 64)).alias("_word")
+
 
-    def shorter(w: Column) -> Column:
-        places = F.sequence(F.lit(1), F.length(w))
-        cut = F.transform(
-            places,
-            lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1, F.length(w))),
-        )
-        return F.when(F.length(w) > 0, cut).otherwise(F.array().cast("array<string>"))
+def _filter_bit(key: str) -> Column:
+    return F.expr(f"shiftleft(1L, cast(`{key}` & 63L as int))")
 
-    words = F.array(word)
-    for _ in range(edits):
-        words = F.array_distinct(F.concat(words, F.flatten(F.transform(words, shorter))))
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+
+def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
+    """Start (from 1) and length of the edits + 1 even pieces of a word, the longer ones last."""
+    base = F.floor(length / (edits + 1)).cast("int")
+    over = F.pmod(length, F.lit(edits + 1)).cast("int")
+    out = []
+    for i in range(edits + 1):
+        longer = F.greatest(over - (edits + 1 - i), F.lit(0))
+        size = base + F.when(over >= edits + 1 - i, 1).otherwise(0)
+        out.append((base * i + longer + 1, size))
+    return out
+
+
+def _piece(length: Column, i: int, word: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, F.lit(i), F.substr(word, start, size))
+
+
+def item_keys(word: Column, edits: int) -> Column:
+    """Hashes of the word's edits + 1 pieces, each with its number and the word's length."""
+    length = F.length(word)
+    return F.array(*(_piece(length, i, word, *s) for i, s in enumerate(_segments(length, edits))))
+
+
+def probe_keys(word: Column, edits: int) -> Column:
+    """Hashes under which every word within ``edits`` edits is listed by :func:`item_keys`.
+
+    So many edits leave one of the other word's pieces whole, and move it by no more than their
+    number. A word of any length has (2k + 1)^2 (k + 1) keys at most.
+    """
+    own = F.length(word)
+    keys = []
+    for change in range(-edits, edits + 1):
+        length = own + change
+        for i, (start, size) in enumerate(_segments(length, edits)):
+            for shift in range(-edits, edits + 1):
+                at = start + shift
+                fits = (length >= 0) & (at >= 1) & (at + size - 1 <= own)
+                keys.append(F.when(fits, _piece(length, i, word, at, size)))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
 def within_edits(a: Column | str, b: Column | str, edits: int) -> Column:
@@ -89,9 +134,9 @@ def fuzzy_members(
 ) -> DataFrame:
     """Add ``is_member``: whether any item of the collection is within ``edits`` edits."""
     distinct = words.select(F.col(word).alias("_word")).where("_word IS NOT NULL").distinct()
-    probes = exploded(distinct, ["_word"], deletion_keys(F.col("_word"), edits), "_key")
+    probes = exploded(distinct, ["_word"], probe_keys(F.col("_word"), edits), "_key")
     listed = collection.select(F.col(item).alias("_item")).where("_item IS NOT NULL").distinct()
-    items = exploded(listed, ["_item"], deletion_keys(F.col("_item"), edits), "_key")
+    items = exploded(listed, ["_item"], item_keys(F.col("_item"), edits), "_key")
     members = (
         probes.join(items, "_key")
         .where(within_edits("_word", "_item", edits))
@@ -99,5 +144,5 @@ def fuzzy_members(
         .distinct()
         .withColumn("is_member", F.lit(True))
     )
-    joined = lookup(words, members, [word], spread=words.columns)
+    joined = words.join(members, word, "left")
     return joined.withColumn("is_member", F.coalesce("is_member", F.lit(False)))

@@ -19,10 +19,10 @@ def consumed(texts, names):
     return out
 
 
-@pytest.mark.parametrize("per_pass", [1000, 3])
-def test_consuming_counts_against_the_loop(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(counts, "NAMES_PER_PASS", per_pass)
-    rng = random.Random(per_pass)
+@pytest.mark.parametrize("probe", [8, 1])
+def test_consuming_counts_against_the_loop(spark, monkeypatch, probe):
+    monkeypatch.setattr(counts, "PROBE", probe)
+    rng = random.Random(probe)
     names = ["ab", "b", "", "a a", "aab", "ab", " ", "c", "ba"]
     texts = ["", " ", "aabb c", *("".join(rng.choices("abc ", k=rng.randint(1, 12))) for _ in range(80))]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -31,6 +31,22 @@ def test_consuming_counts_against_the_loop(spark, monkeypatch, per_pass):
     assert [r.n for r in got] == consumed(texts, names)
 
 
+def test_names_that_share_a_position_count_apart(spark):
+    df = spark.createDataFrame([("a b",), ("c.*\\E a",)], "t string")
+    table = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (2, ".*\\E"), (2, None)], "pos int, name string")
+    got = counts.consuming_counts(df, "t", table, "name").collect()
+    assert {(r.pos, r.name): r.n for r in got} == {(0, "a"): 2, (0, "b"): 1, (1, "c"): 1, (2, ".*\\E"): 1, (2, None): 0}
+    assert counts.consuming_counts(df.limit(0), "t", table, "name").count() == 5
+    assert counts.consuming_counts(df, "t", table.limit(0), "name").count() == 0
+
+
+def test_an_erasure_forms_a_later_name(spark):
+    df = spark.createDataFrame([("xabyz" + "q" * 30,), ("abab",)], "t string")
+    table = spark.createDataFrame([(0, "ab"), (1, "xyz"), (2, "yq"), (3, "zqq")], "pos int, name string")
+    got = counts.consuming_counts(df, "t", table, "name").collect()
+    assert {r.name: r.n for r in got} == {"ab": 2, "xyz": 1, "yq": 0, "zqq": 0}
+
+
 def test_normalized_name_counts(spark):
     docs = spark.createDataFrame(
         [(1, ["dana levi", "omer levi"], ["dana levi"]), (2, ["omer"], None)],
@@ -56,20 +72,23 @@ def test_names_and_tops(spark):
 
 
 def test_categories(spark):
-    labels = ["Civil - A", "Civil - A - B", "Civil - A", "Family", "Civil - A - B - C", "Tax - Q"]
+    labels = ["Civil - A", "Civil - A - B", "Civil - A", "Family", "Civil - A - B - C", "Tax - Q", "Tax"]
     df = spark.createDataFrame([(x,) for x in labels], "label string")
     main = {r.category: r.n for r in counts.category_counts(df, "label").collect()}
-    assert main == {"Civil": 4, "Family": 1, "Tax": 1}
+    assert main == {"Civil": 4, "Family": 1, "Tax": 2}
     subs = {(r.category, r.sub_category): r.n for r in counts.subcategory_counts(df, "label").collect()}
     assert subs == {
         ("Civil", "A"): 3,
         ("Civil", "A - B"): 1,
         ("Civil", "Civil Total"): 4,
         ("Tax", "Q"): 1,
-        ("Tax", "Tax Total"): 1,
+        ("Tax", None): 1,
+        ("Tax", "Tax Total"): 2,
+        ("Family", None): 1,
+        ("Family", "Family Total"): 1,
     }
     shares = {r.category: r.share for r in counts.category_shares(df, "label").collect()}
-    assert shares["Civil"] == pytest.approx(4 / 6)
+    assert shares["Civil"] == pytest.approx(4 / 7)
 
 
 def test_dates(spark):
@@ -81,7 +100,7 @@ def test_dates(spark):
         datetime.date(2012, 3, 19),
         2,
     )
-    assert [r.id for r in counts.undated(df, "id", "d").collect()] == [2]
+    assert [r.id for r in counts.undated(df, "id", "d").collect()] == [2, 4]
     empty = counts.date_span(df.where("id = 2"), "d").first()
     assert empty.latest == datetime.date(1, 1, 1) and empty.earliest.year >= 2024
 
