@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -107,15 +107,31 @@ def ngrams(words: Column, n: int | Column) -> Column:
     return bind(words, runs)
 
 
-def term_keys(terms: Column) -> Column:
-    """Short terms as their bytes, longer ones as a 128-bit digest.
+def counted(values: Column) -> Column:
+    """Structs (term, tf): each distinct value of a list and how often it has it.
 
-    Long n-grams are nearly unique per text, and in shuffles and model tables 16 bytes
-    stand for some sixty. Texts shorter than 16 bytes cannot meet a digest.
+    Counting happens inside the row, by sorting the list and taking the lengths of its runs.
     """
-    return F.transform(
-        terms,
-        lambda t: F.when(F.octet_length(t) < 16, F.encode(t, "UTF-8")).otherwise(
-            F.unhex(F.md5(F.encode(t, "UTF-8")))
-        ),
-    )
+
+    def runs(held: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(held) - 1),
+            lambda i: (i == 0) | (F.get(held, i) != F.get(held, i - 1)),
+        )
+        return bind(starts, lambda at: F.zip_with(at, _next_starts(at, F.size(held)), _run(held)))
+
+    none = F.array().cast("array<struct<term:string,tf:int>>")
+    return F.when(F.size(values) > 0, bind(F.array_sort(values), runs)).otherwise(none)
+
+
+def _next_starts(at: Column, end: Column) -> Column:
+    return F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(end))
+
+
+def _run(held: Column) -> Callable[[Column, Column], Column]:
+    return lambda a, b: F.struct(F.get(held, a).alias("term"), (b - a).alias("tf"))
+
+
+def term_key(term: Column) -> Column:
+    """128 bits that stand for a term: in shuffles and models 16 bytes in place of some sixty."""
+    return F.unhex(F.md5(F.encode(term, "UTF-8")))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketeer import schema
 from docketeer.functions import names as N
 from docketeer.operators import bayes, lookup, sampling
 from docketeer.operators.roster import fix_judges
+from docketeer.operators.tokens import remove_from_lists
 from docketeer.session import settled
+from docketeer.sources import lists
 
 
 def with_name_errors(flat: DataFrame) -> DataFrame:
@@ -25,25 +27,45 @@ def with_name_errors(flat: DataFrame) -> DataFrame:
 
 def normalize(
     flat: DataFrame,
-    stop_words: Sequence[str],
+    stop_words: Sequence[str] | DataFrame,
     roster: DataFrame,
-    titles: Sequence[str] = tuple(schema.TITLES),
-    key: str = "id",
+    titles: Sequence[str] | DataFrame = tuple(schema.TITLES),
 ) -> DataFrame:
     """Fill the five normalized lists; failed rows keep their reason and have none.
 
-    ``key`` identifies a row. With a roster short enough for a literal this is one pass
-    over the table without a shuffle.
+    Word lists are Python lists or tables with a column ``word``. With lists and a roster short
+    enough for literals this is one pass over the table without a shuffle; longer ones are
+    joined, with the same result. No key is needed.
     """
     checked = with_name_errors(flat)
     good = F.col("error_reason").isNull()
     out = checked
     for role in schema.PARTY_ROLES:
         out = out.withColumn(f"{role}_normalized", F.when(good, N.party_names(F.col(role))))
-    for role in schema.LEGAL_ROLES:
-        cleaned = N.legal_names(F.col(role), titles, stop_words)
-        out = out.withColumn(f"{role}_normalized", F.when(good, cleaned))
-    return fix_judges(out, key, "judges_normalized", "judges_normalized", roster)
+    short = [_short(words) for words in (titles, stop_words)]
+    legal = [f"{role}_normalized" for role in schema.LEGAL_ROLES]
+    if None not in short:
+        for role, column in zip(schema.LEGAL_ROLES, legal, strict=True):
+            out = out.withColumn(column, F.when(good, N.legal_names(F.col(role), *short)))
+    else:
+        for role, column in zip(schema.LEGAL_ROLES, legal, strict=True):
+            out = out.withColumn(column, F.when(good, N.split_legal(F.col(role))))
+        spark = flat.sparkSession
+        tables = [_as_table(spark, words) for words in (titles, stop_words)]
+        out = remove_from_lists(out, legal, tables[0].unionByName(tables[1]))
+        for column in legal:
+            out = out.withColumn(column, N.finish_legal(F.col(column)))
+    return fix_judges(out, "judges_normalized", "judges_normalized", roster)
+
+
+def _short(words: Sequence[str] | DataFrame) -> list[str] | None:
+    return lists.short_list(words) if isinstance(words, DataFrame) else list(words)
+
+
+def _as_table(spark: SparkSession, words: Sequence[str] | DataFrame) -> DataFrame:
+    if isinstance(words, DataFrame):
+        return words.select("word")
+    return spark.createDataFrame([(w,) for w in words], "word string")
 
 
 def judge_dictionary(normalized: DataFrame, dictionary: DataFrame, order: str = "id") -> DataFrame:
@@ -70,8 +92,8 @@ def train(
         labelled, key, category, list(sizes), test_share, seed
     )
     members = settled(bayes.with_ngram_sizes(split, sizes), "split")
-    docs = labelled.select(key, text).dropDuplicates([key])
-    model = bayes.fit(members.where("part = 'train'").drop("part"), docs, key, text)
+    train_set = members.where("part = 'train'").drop("part")
+    model = bayes.fit(train_set, labelled.select(key, text), key, text)
     return model, members.where("part = 'test'").drop("part")
 
 
@@ -82,23 +104,50 @@ def classify(
     key: str = "id",
     text: str = "summary",
 ) -> DataFrame:
-    """The table with ``category`` set; rows without a text get a reason for failure."""
+    """The table with ``category`` set; rows without a text get a reason for failure.
+
+    ``key`` must tell the rows apart. Rows that share one, or have none, cannot be told apart
+    when the scores come back, so they get a reason for failure as well, and no category.
+    """
     missing = F.when(F.col(text).isNull(), F.lit("missing summary"))
     checked = flat.withColumn("error_reason", F.coalesce("error_reason", missing))
-    docs = checked.where(F.col("error_reason").isNull()).select(key, text)
+    good = checked.where(F.col("error_reason").isNull() & F.col(key).isNotNull())
+    docs = good.select(key, text)
     scores = bayes.score(docs, model, key, text, list(sizes.values()))
     chosen = bayes.choose_category(docs, scores, key, list(sizes))
-    return checked.drop("category").join(chosen.select(key, "category"), key, "left")
+    chosen = chosen.groupBy(key).agg(
+        F.any_value("category").alias("_category"), F.count(F.lit(1)).alias("_rows")
+    )
+    joined = checked.drop("category").join(chosen, key, "left")
+    reason = F.when(F.col(key).isNull(), f"missing {key}").when(F.col("_rows") > 1, f"repeated {key}")
+    joined = joined.withColumn("error_reason", F.coalesce("error_reason", reason))
+    category = F.when(F.col("error_reason").isNull(), F.col("_category"))
+    return joined.withColumn("category", category).drop("_category", "_rows")
 
 
 def enrich(
     flat: DataFrame,
-    stop_words: Sequence[str],
+    stop_words: Sequence[str] | DataFrame,
     roster: DataFrame,
     model: bayes.Model,
     sizes: dict[str, int],
     key: str = "id",
+    titles: Sequence[str] | DataFrame = tuple(schema.TITLES),
 ) -> DataFrame:
     """Normalize, then classify; what a scheduled run does to its new verdicts."""
-    normalized = normalize(flat, stop_words, roster, key=key)
-    return classify(normalized, model, sizes, key)
+    return classify(normalize(flat, stop_words, roster, titles), model, sizes, key)
+
+
+def enrich_with_dictionary(
+    flat: DataFrame,
+    stop_words: Sequence[str] | DataFrame,
+    roster: DataFrame,
+    model: bayes.Model,
+    sizes: dict[str, int],
+    dictionary: DataFrame,
+    key: str = "id",
+    titles: Sequence[str] | DataFrame = tuple(schema.TITLES),
+) -> tuple[DataFrame, DataFrame]:
+    """(enriched verdicts, dictionary with their judges); the verdicts are written once."""
+    done = settled(enrich(flat, stop_words, roster, model, sizes, key, titles), "enriched")
+    return done, judge_dictionary(done, dictionary, key)

@@ -127,8 +127,8 @@ TURN_ROWS = (
     f" unnest(names) AS name FROM ({TURNS})"
 )
 LABELS = (
-    "SELECT doc_id, lang || ' - ' || source || CASE WHEN n_chars > 1000 THEN ' - long' ELSE '' END"
-    " AS label FROM documents"
+    "SELECT doc_id, lang || CASE WHEN n_chars > 300 THEN ' - ' || source ELSE '' END"
+    " || CASE WHEN n_chars > 1000 THEN ' - long' ELSE '' END AS label FROM documents"
 )
 FULL_NAMES = (
     "SELECT p_partkey, CASE p_size % 3"
@@ -264,10 +264,19 @@ def corpus_words(table: str) -> str:
     )
 
 
+def halves(words: str) -> str:
+    """Two words within one edit share the first or the last half of the shorter one."""
+    sizes = "[length(word) // 2, greatest(length(word) - 1, 0) // 2]"
+    return f"""SELECT DISTINCT word, side, h, CASE side WHEN 'first' THEN left(word, h) ELSE right(word, h) END
+      AS half FROM (SELECT word, unnest({sizes}) AS h FROM {words}), (SELECT unnest(['first', 'last']) AS side)"""
+
+
 FUZZY = f"""
-  WITH words AS ({corpus_words('documents')}), items AS ({corpus_words('benchmark')}),
-  near AS (SELECT DISTINCT w.word FROM words w JOIN items i
-           ON abs(length(w.word) - length(i.word)) <= 1 AND levenshtein(w.word, i.word) <= 1)
+  WITH words AS MATERIALIZED ({corpus_words('documents')}),
+  items AS MATERIALIZED ({corpus_words('benchmark')}),
+  pairs AS (SELECT DISTINCT w.word, i.word AS item FROM ({halves('words')}) w JOIN ({halves('items')}) i
+            USING (side, h, half) WHERE abs(length(w.word) - length(i.word)) <= 1),
+  near AS (SELECT DISTINCT word FROM pairs WHERE levenshtein(word, item) <= 1)
   SELECT w.word, w.n, n.word IS NOT NULL AS is_member FROM words w LEFT JOIN near n USING (word)"""
 
 # Dictionary
@@ -342,15 +351,15 @@ def name_count_sql() -> str:
         f"LEFT JOIN {consumed(c)} {c[:2]} ON {c[:2]}.i = item_id" for c in columns
     )
     return f"""
-      WITH named0 AS (SELECT item_id, {t}[1] || ' ' || {t}[2] AS full_name, {t}[1] AS first_name,
-                      {t}[2] AS last_name FROM benchmark)
+      WITH named0 AS (SELECT item_id, array_to_string({t}, ' ') AS full_name, {t}[1] AS first_name,
+                      {t}[-1] AS last_name FROM benchmark)
       SELECT item_id, full_name, first_name, last_name, {counts} FROM named0 {joins}"""
 
 
 SUBCATEGORIES = f"""
   WITH parts AS (SELECT string_split(label, ' - ') AS p FROM ({LABELS})),
   subs AS (SELECT p[1] AS category, CASE WHEN len(p) = 3 THEN p[2] || ' - ' || p[3] ELSE p[2] END
-           AS sub_category FROM parts WHERE len(p) > 1)
+           AS sub_category FROM parts)
   SELECT category, sub_category, count(*) AS n FROM subs GROUP BY ALL
   UNION ALL SELECT category, category || ' Total', count(*) FROM subs GROUP BY category"""
 
@@ -379,6 +388,7 @@ SPLIT = f"""
   SELECT doc_id, lang, CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY {HASH}, doc_id)
     <= ceil(count(*) OVER (PARTITION BY lang) * {Q.SHARE}::DOUBLE) THEN 'test' ELSE 'train' END AS part
   FROM documents"""
+NULL_SPLIT = SPLIT.replace("FROM documents", "FROM (SELECT * REPLACE (CASE WHEN n_chars > 300 THEN lang END AS lang) FROM documents)")
 BALANCED = f"""
   SELECT model, label, part, doc_id FROM (
     SELECT *, least(min(test) OVER m, test) AS take_test, min(total - test) OVER m AS take_train,
@@ -454,14 +464,14 @@ CHOSEN = " UNION ALL ".join(f"SELECT '{m}' AS model, {n} AS n" for m, n in Q.SIZ
 SEARCHED = (
     f"SELECT unnest({_list(Q.LANGS)}) AS model, n FROM (SELECT unnest({Q.SEARCH}) AS n)"
 )
-TERM_KEY = (
-    "CASE WHEN octet_length(encode(term)) < 16 THEN hex(encode(term)) ELSE upper(md5(term)) END"
-)
 LEAD = """SELECT g.doc_id, t.model, t.n, sum(tf * idf * (log_p1 - log_p0)) AS lead,
           sqrt(sum(tf * idf * tf * idf)) AS norm FROM grams g JOIN terms t USING (n, term) GROUP BY ALL"""
+# Every text under every model: where a text has no term of a model the priors decide alone.
 SCORES = f"""
-  SELECT doc_id, l.model, l.n, 1 / (1 + exp(-(log_prior1 - log_prior0 + lead / norm))) AS p
-  FROM ({LEAD}) l JOIN classes c ON l.model = c.model AND l.n = c.n"""
+  SELECT d.doc_id, c.model, c.n,
+         1 / (1 + exp(-(log_prior1 - log_prior0 + coalesce(lead / norm, 0)))) AS p
+  FROM (SELECT doc_id FROM documents) d CROSS JOIN classes c LEFT JOIN ({LEAD}) l
+    ON l.doc_id = d.doc_id AND l.model = c.model AND l.n = c.n"""
 POSITION = "CASE model " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(Q.SIZES)) + " END"
 
 
@@ -532,7 +542,7 @@ def top_pairs() -> str:
     def side(sign: str, direction: str) -> str:
         return f"""SELECT '{sign}' AS sign, CAST(row_number() OVER (ORDER BY corr {direction}, feature_a,
           feature_b) AS INTEGER) AS rank, feature_a, feature_b, round(corr, 6) AS corr FROM corr
-          WHERE corr IS NOT NULL QUALIFY rank <= {Q.TOP}"""
+          WHERE corr IS NOT NULL QUALIFY rank <= {Q.PAIRS}"""
 
     return f"WITH {CORR} {side('positive', 'DESC')} UNION ALL {side('negative', 'ASC')}"
 
@@ -542,7 +552,7 @@ def top_pairs() -> str:
 
 def normalized_sql() -> str:
     titles = _list(["The", "La"])
-    flat = f"""SELECT doc_id, lang, names, string_split(names[1], ', ') AS pieces FROM ({LISTS})
+    flat = f"""SELECT doc_id, lang, names FROM ({LISTS})
       JOIN documents USING (doc_id)"""
     judges = f"""SELECT id, unnest(range(len(js))) AS pos, unnest(js) AS name FROM cleaned
       WHERE lang <> 'es'"""
@@ -553,8 +563,8 @@ def normalized_sql() -> str:
     return f"""
       WITH flat AS ({flat}),
       cleaned AS (SELECT doc_id::VARCHAR AS id, lang, {party('names')} AS petitioner,
-        {party('names[1:1]')} AS defense, {legal('pieces', titles)} AS js,
-        {legal('pieces[1:2]', titles)} AS ds FROM flat),
+        {party('list_reverse(names)')} AS defense, {legal('names', titles)} AS js,
+        {legal('list_reverse(names)', titles)} AS ps FROM flat),
       found AS ({matched(judges, "id, pos")}),
       kept AS (SELECT id, string_agg(matched, '|' ORDER BY pos) AS judges FROM found
                WHERE matched IS NOT NULL GROUP BY id)
@@ -562,11 +572,79 @@ def normalized_sql() -> str:
         CASE WHEN lang <> 'es' AND len(js) > 0 THEN coalesce(judges, '') END AS judges,
         CASE WHEN lang <> 'es' THEN petitioner END AS petitioner,
         CASE WHEN lang <> 'es' THEN defense END AS defense,
-        CASE WHEN lang <> 'es' THEN array_to_string(js, '|') END AS petitioner_attorneys,
-        CASE WHEN lang <> 'es' THEN array_to_string(ds, '|') END AS defense_attorneys
+        CASE WHEN lang <> 'es' THEN array_to_string(ps, '|') END AS petitioner_attorneys,
+        CASE WHEN lang <> 'es' THEN array_to_string(js, '|') END AS defense_attorneys
       FROM cleaned LEFT JOIN kept USING (id)"""
 
 
+def clean_legal(xs: str) -> str:
+    """Judges and attorneys with nothing lost: all parts, every name by itself, hyphens kept."""
+
+    def parts(ys: str, mark: str) -> str:
+        return (
+            f"flatten(list_transform({ys}, lambda s:"
+            f" list_transform(string_split(s, '{mark}'), lambda p: {squeeze('p')})))"
+        )
+
+    t = toks("m")
+    split = parts(parts(f"list_transform({xs}, lambda c: {clean('c')})", ";"), ",")
+    words = without_each(without_each(split, TITLES), STOP)
+    paired = f"""flatten(list_transform({words}, lambda m: CASE
+      WHEN len({t}) = 3 THEN [{t}[1] || ' ' || {t}[2] || '-' || {t}[3]]
+      WHEN len({t}) > 2 AND len({t}) % 2 = 0 THEN list_transform(range(len({t}) // 2),
+        lambda i: {t}[2 * i + 1] || ' ' || {t}[2 * i + 2])
+      ELSE [array_to_string({t}, ' ')] END))"""
+    ordered = f"""list_transform({paired}, lambda o: CASE
+      WHEN len(string_split(o, ' ')) = 2 AND contains(string_split(o, ' ')[1], '-')
+        AND NOT contains(string_split(o, ' ')[2], '-')
+      THEN string_split(o, ' ')[2] || ' ' || string_split(o, ' ')[1] ELSE o END)"""
+    marks = PUNCTUATION.replace("-", "")
+    bare = f"list_transform({ordered}, lambda b: {squeeze(f"translate(b, '{marks}', '')")})"
+    return f"list_filter({bare}, lambda e: e <> '')"
+
+
+LONG_WORDS = (
+    "list_filter(list_transform(list_transform({xs}, lambda m: array_to_string(list_filter("
+    + toks("m")
+    + f", lambda t: length(t) < {Q.LONG_WORD} AND t NOT IN ('The', 'La')), ' ')), lambda m: m), lambda m: m <> '')"
+)
+
+
+def word_table_sql() -> str:
+    cut = split_at(split_at(f"list_transform(names, lambda c: {clean('c')})", ";"), ",")
+    paired = pair(LONG_WORDS.replace("{xs}", cut))
+    lists = f"SELECT doc_id::VARCHAR AS id, list_transform({paired}, lambda p: {strip('p')}) AS js FROM ({LISTS})"
+    each = "SELECT id, unnest(range(len(js))) AS pos, unnest(js) AS name FROM cleaned"
+    return f"""
+      WITH cleaned AS ({lists}), found AS ({matched(each, "id, pos")}),
+      kept AS (SELECT id, string_agg(matched, '|' ORDER BY pos) AS judges FROM found
+               WHERE matched IS NOT NULL GROUP BY id)
+      SELECT id, CASE WHEN len(js) > 0 THEN coalesce(judges, '') END AS judges,
+             array_to_string(js, '|') AS defense_attorneys FROM cleaned LEFT JOIN kept USING (id)"""
+
+
+ENRICHED = f"""
+  WITH {model_sql(CHOSEN)},
+  best AS (SELECT doc_id, max(struct_pack(p := p, i := {POSITION}, model := model)) AS b
+           FROM ({SCORES}) GROUP BY doc_id),
+  normalized AS ({normalized_sql()})
+  SELECT id, error_reason, judges, defense,
+         CASE WHEN error_reason IS NULL THEN CASE WHEN b.p > 0.5 THEN b.model ELSE 'Inconclusive' END END
+           AS category
+  FROM normalized JOIN best ON id = doc_id::VARCHAR"""
+
+ENRICHED_DICTIONARY = f"""
+  WITH js AS (SELECT doc_id::VARCHAR AS id, names, {legal('names', _list(["The", "La"]))} AS js
+              FROM ({LISTS}) JOIN documents USING (doc_id) WHERE lang <> 'es'),
+  each AS (SELECT id, unnest(range(len(js))) AS pos, unnest(js) AS name FROM js),
+  found AS ({matched("SELECT * FROM each", "id, pos")}),
+  kept AS (SELECT id, list(matched ORDER BY pos) AS fixed FROM found WHERE matched IS NOT NULL GROUP BY id),
+  pairs AS (SELECT id, unnest(range(len(names))) AS pos, unnest(names) AS before, unnest(fixed) AS after
+            FROM js JOIN kept USING (id) WHERE len(names) = len(fixed))
+  SELECT before, after FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY before ORDER BY id COLLATE "C", pos) = 1"""
+
+
 ORACLES: dict[str, str] = {
     "clean_names": rows(f"list_transform(names, lambda c: {clean('c')})"),
     "split_names": rows(split_at(split_at("names", ";"), ",")),
@@ -646,12 +724,13 @@ ORACLES: dict[str, str] = {
       QUALIFY count(*) OVER (PARTITION BY l_partkey, l_suppkey) = 1""",
     "unrepeated_rows": "SELECT role, text FROM conversations GROUP BY ALL HAVING count(*) = 1",
     "train_test_split": SPLIT,
+    "split_with_nulls": NULL_SPLIT,
     "one_vs_rest_split": BALANCED,
     "random_rows": f"SELECT doc_id, lang, source FROM documents ORDER BY {HASH}, doc_id LIMIT 10",
     "first_rows": "SELECT doc_id, lang, source FROM documents ORDER BY lang, doc_id LIMIT 100",
     "tfidf": TFIDF,
     "term_rank_window": RANKED,
-    "model_terms": f"""WITH {model_sql(CHOSEN)} SELECT model, n, {TERM_KEY} AS term, df,
+    "model_terms": f"""WITH {model_sql(CHOSEN)} SELECT model, n, term, df,
       round(idf, 6) AS idf, round(log_p0, 6) AS log_p0, round(log_p1, 6) AS log_p1 FROM terms""",
     "model_classes": f"""WITH {model_sql(CHOSEN)} SELECT model, n, n_docs, n_terms,
       round(log_prior0, 6) AS log_prior0, round(log_prior1, 6) AS log_prior1 FROM classes""",
@@ -669,6 +748,11 @@ ORACLES: dict[str, str] = {
       SELECT feature_a, feature_b, round(corr, 6) AS corr FROM corr""",
     "top_correlated_pairs": top_pairs(),
     "normalize_documents": normalized_sql(),
+    "normalize_with_word_table": word_table_sql(),
+    "legal_names_clean": rows(clean_legal("names")),
+    "enrich_documents": ENRICHED,
+    "enrich_dictionary": ENRICHED_DICTIONARY,
+    "stream_enrich": ENRICHED,
     "route_failures": """SELECT CASE WHEN lang = 'es' THEN 'failed' ELSE 'success' END AS status,
       count(*) AS n FROM documents GROUP BY 1""",
     "stream_normalize": normalized_sql(),

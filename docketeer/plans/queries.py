@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketeer import schema
 from docketeer.functions import names as N
 from docketeer.functions import text as X
 from docketeer.operators import (
@@ -36,10 +37,11 @@ PATTERNS = ["[0-9]+", "[.,;:]+", "(the|la|der) "]
 KEYWORDS = ["tion", "mente", "schau"]
 NAMES = ["on", "in", "le", "el", "ein"]
 LANGS = ["en", "de", "fr", "es"]
-SIZES = {"en": 2, "de": 1, "fr": 1, "es": 3}
-SEARCH = [1, 2, 3]
+SIZES = {"en": 9, "de": 6, "fr": 2, "es": 7}
+SEARCH = list(range(1, 11))
 TURN_ROLES = ["user", "assistant", "system"]
-SHARE, SEED, TOP = 0.3, 7, 10
+SHARE, SEED, TOP, PAIRS = 0.3, 7, 10, 40
+LONG_WORD = 12
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,7 +78,8 @@ def _turns(spark: SparkSession, folder: str) -> DataFrame:
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     long = F.when(F.col("n_chars") > 1000, "long")
-    return docs.select("doc_id", F.concat_ws(" - ", "lang", "source", long).alias("label"))
+    source = F.when(F.col("n_chars") > 300, F.col("source"))
+    return docs.select("doc_id", F.concat_ws(" - ", "lang", source, long).alias("label"))
 
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,7 +274,7 @@ def roster_match_lists(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.array("name", F.concat(F.lit("x "), "name"), F.lit("y")))
         .alias("names"),
     )
-    fixed = roster.match_roster_lists(lists, "p_partkey", "names", "fixed", _roster(spark, folder))
+    fixed = roster.match_roster_lists(lists, "names", "fixed", _roster(spark, folder))
     return fixed.select(
         "p_partkey", F.size("fixed").alias("n"), F.array_join("fixed", "|").alias("fixed")
     )
@@ -358,13 +361,13 @@ def top_legal_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def normalized_name_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """How many documents meet the first words of the benchmark items as names."""
+    """How many documents meet the benchmark items, their first and their last words, as names."""
     words = N.tokens(F.col("text"))
     named = _table(spark, folder, "benchmark").select(
         "item_id",
-        F.concat_ws(" ", F.get(words, 0), F.get(words, 1)).alias("full_name"),
+        F.array_join(words, " ").alias("full_name"),
         F.get(words, 0).alias("first_name"),
-        F.get(words, 1).alias("last_name"),
+        F.element_at(words, -1).alias("last_name"),
     )
     return counts.normalized_name_counts(
         _lists(spark, folder), "doc_id", ["names"], named, "item_id"
@@ -437,6 +440,13 @@ def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.train_test_split(docs, "doc_id", ["lang"], SHARE, SEED)
 
 
+def split_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Short documents have no group here, and are split among themselves."""
+    group = F.when(F.col("n_chars") > 300, F.col("lang")).alias("lang")
+    docs = _documents(spark, folder).select("doc_id", group)
+    return sampling.train_test_split(docs, "doc_id", ["lang"], SHARE, SEED)
+
+
 def one_vs_rest_split(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     return sampling.one_vs_rest_split(docs, "doc_id", "lang", LANGS, SHARE, SEED)
@@ -478,7 +488,7 @@ def model_terms(spark: SparkSession, folder: str) -> DataFrame:
     return model.terms.select(
         "model",
         "n",
-        F.hex("term").alias("term"),
+        F.col("gram").alias("term"),
         "df",
         *(F.round(c, 6).alias(c) for c in ("idf", "log_p0", "log_p1")),
     )
@@ -552,7 +562,7 @@ def correlations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_correlated_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    top = cooccur.top_correlated(_word_correlations(spark, folder), TOP)
+    top = cooccur.top_correlated(_word_correlations(spark, folder), PAIRS)
     return top.withColumn("corr", F.round("corr", 6))
 
 
@@ -562,15 +572,15 @@ def top_correlated_pairs(spark: SparkSession, folder: str) -> DataFrame:
 def _flat(docs: DataFrame) -> DataFrame:
     """Documents as flat verdicts: their lines are the name lists, and es has no judges."""
     lines = F.split("text", "\n")
-    pieces = F.split(F.get(lines, 0), ", ")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("summary"),
-        F.when(F.col("lang") != "es", pieces).alias("judges"),
+        F.lit(None).cast("string").alias("category"),
+        F.when(F.col("lang") != "es", lines).alias("judges"),
         lines.alias("petitioner"),
-        F.slice(lines, 1, 1).alias("defense"),
-        pieces.alias("petitioner_attorneys"),
-        F.slice(pieces, 1, 2).alias("defense_attorneys"),
+        F.reverse(lines).alias("defense"),
+        F.reverse(lines).alias("petitioner_attorneys"),
+        lines.alias("defense_attorneys"),
         F.lit(None).cast("string").alias("error_reason"),
     )
 
@@ -591,6 +601,70 @@ def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_columns(enrich.normalize(flat, STOP_WORDS, _roster(spark, folder), ["The", "La"]))
 
 
+def normalize_with_word_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of the documents as judges, the words to remove being all long ones, a table."""
+    lists = _lists(spark, folder).select(
+        F.col("doc_id").cast("string").alias("id"),
+        *(F.col("names").alias(r) for r in schema.ROLES),
+        F.lit(None).cast("string").alias("error_reason"),
+    )
+    names = lists.select(F.explode(N.split_legal(F.col("judges"))).alias("name"))
+    words = names.select(F.explode(N.tokens(F.col("name"))).alias("word")).distinct()
+    long = words.where(F.length("word") >= LONG_WORD)
+    done = enrich.normalize(lists, long, _roster(spark, folder), ["The", "La"])
+    return done.select(
+        "id", *(F.array_join(f"{r}_normalized", "|").alias(r) for r in ("judges", "defense_attorneys"))
+    )
+
+
+def legal_names_clean(spark: SparkSession, folder: str) -> DataFrame:
+    lists = _lists(spark, folder)
+    return _rows(lists, N.legal_names_clean(F.col("names"), ["The", "La", "Der"], STOP_WORDS))
+
+
+def enrich_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Normalized, classified and routed, as a scheduled run does it."""
+    docs, model, _ = _trained(spark, folder)
+    done = enrich.enrich(
+        _flat(docs), STOP_WORDS, _roster(spark, folder), model, SIZES, titles=["The", "La"]
+    )
+    return _enriched_columns(done)
+
+
+def _enriched_columns(done: DataFrame) -> DataFrame:
+    lists = [F.array_join(f"{r}_normalized", "|").alias(r) for r in ("judges", "defense")]
+    return done.select("id", "error_reason", "category", *lists)
+
+
+def enrich_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The dictionary that the same run leaves, beginning with none."""
+    docs, model, _ = _trained(spark, folder)
+    nothing = spark.createDataFrame([], "before string, after string")
+    _, dictionary = enrich.enrich_with_dictionary(
+        _flat(docs), STOP_WORDS, _roster(spark, folder), model, SIZES, nothing, titles=["The", "La"]
+    )
+    return dictionary
+
+
+def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as ``enrich_documents``, file by file through the stream."""
+    _, model, _ = _trained(spark, folder)
+    kinds = _table(spark, folder, "documents").schema
+    source = spark.readStream.schema(kinds).option("pathGlobFilter", "documents.parquet")
+    lines = _roster(spark, folder)
+    out = new_folder(spark, "enriched")
+    query = stream.run_enrichment(
+        source.option("maxFilesPerTrigger", 1).parquet(folder),
+        lambda batch: enrich.enrich(
+            _flat(spread(batch)), STOP_WORDS, lines, model, SIZES, titles=["The", "La"]
+        ),
+        out,
+        new_folder(spark, "stream"),
+    )
+    query.awaitTermination()
+    return _enriched_columns(spark.read.parquet(out))
+
+
 def route_failures(spark: SparkSession, folder: str) -> DataFrame:
     flat = _flat(_documents(spark, folder))
     return counts.status_counts(enrich.with_name_errors(flat))
@@ -598,13 +672,13 @@ def route_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
     """The same as ``normalize_documents``, through the file stream and its routed tables."""
-    schema = _table(spark, folder, "documents").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
+    kinds = _table(spark, folder, "documents").schema
+    source = spark.readStream.schema(kinds).option("pathGlobFilter", "documents.parquet")
     lines = _roster(spark, folder)
     out = new_folder(spark, "enriched")
     query = stream.run_enrichment(
         source.parquet(folder),
-        lambda batch: enrich.normalize(_flat(batch), STOP_WORDS, lines, ["The", "La"]),
+        lambda batch: enrich.normalize(_flat(spread(batch)), STOP_WORDS, lines, ["The", "La"]),
         out,
         new_folder(spark, "stream"),
     )
@@ -614,8 +688,8 @@ def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of the turns by their cleaned form, kept first-wins over the stream."""
-    schema = _table(spark, folder, "conversations").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
+    kinds = _table(spark, folder, "conversations").schema
+    source = spark.readStream.schema(kinds).option("pathGlobFilter", "conversations.parquet")
     lines = F.posexplode(F.split("text", "\n")).alias("pos", "before")
     pairs = source.parquet(folder).select("conv_id", "turn", "role", lines).select(
         "before", F.col("role").alias("after"), F.struct("conv_id", "turn", "pos").alias("seen_at")
@@ -692,6 +766,12 @@ QUERIES = {
         correlations,
         top_correlated_pairs,
         normalize_documents,
+        normalize_with_word_table,
+        legal_names_clean,
+        split_with_nulls,
+        enrich_documents,
+        enrich_dictionary,
+        stream_enrich,
         route_failures,
         stream_normalize,
         stream_dictionary,
