@@ -117,3 +117,16 @@ def sorted_by(df: DataFrame, column: str) -> DataFrame:
 
 def first_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*keys).limit(n)
+
+
+def category_role_pairs(df: DataFrame, roles: Sequence[str], key: str = "id") -> DataFrame:
+    """(key, category, role, names, normalized): the two columns of each role beside the category."""
+    pairs = F.array(
+        *(
+            F.struct(
+                F.lit(r).alias("role"), F.col(r).alias("names"), F.col(f"{r}_normalized").alias("normalized")
+            )
+            for r in roles
+        )
+    )
+    return df.select(key, "category", F.explode(pairs).alias("_p")).select(key, "category", "_p.*")

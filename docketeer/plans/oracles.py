@@ -6,6 +6,7 @@ every pair, ranks come from one window, and hashes are computed in full.
 
 from __future__ import annotations
 
+from docketeer.plans import files
 from docketeer.plans import queries as Q
 
 
@@ -759,4 +760,4 @@ ORACLES: dict[str, str] = {
     "stream_dictionary": f"""SELECT before, after FROM (SELECT name AS before, role AS after,
         row_number() OVER (PARTITION BY name ORDER BY conv_id, turn, pos) AS r FROM ({TURN_ROWS}))
       WHERE r = 1""",
-}
+} | files.ORACLES

@@ -25,7 +25,7 @@ from docketeer.operators import (
     terms,
     tokens,
 )
-from docketeer.plans import enrich
+from docketeer.plans import enrich, files
 from docketeer.session import new_folder, spread
 from docketeer.sources.sinks import load_model, save_model
 from docketeer.streaming import enrich as stream
@@ -776,4 +776,4 @@ QUERIES = {
         stream_normalize,
         stream_dictionary,
     )
-}
+} | files.QUERIES

@@ -52,8 +52,12 @@ def verdict_documents(flat: DataFrame) -> DataFrame:
     return flat.select("file_name", F.col("id").alias("_id"), F.struct(*details).alias("Doc Details"))
 
 
-def write_verdicts(flat: DataFrame, path: str) -> None:
-    verdict_documents(flat).write.option("ignoreNullFields", False).json(path)
+def write_verdicts(flat: DataFrame, path: str, one_per_file: bool = False) -> None:
+    """The package form, as JSON lines or, where a reader wants it so, a file for each verdict."""
+    writer = verdict_documents(flat).write.option("ignoreNullFields", False)
+    if one_per_file:
+        writer = writer.option("maxRecordsPerFile", 1)
+    writer.json(path)
 
 
 def write_routed(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
