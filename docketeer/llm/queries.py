@@ -139,7 +139,68 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op3_anchors": f"""
+        WITH docs AS MATERIALIZED (SELECT doc_id, {_SPACED} AS w FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS said
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)
+        ),
+        later AS (
+            SELECT doc_id, i FROM windows
+            QUALIFY row_number() OVER (PARTITION BY said ORDER BY doc_id, i) > 1
+        ),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM later),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS said
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs)
+            ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(said, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)
+    """,
+    # Bytes as pairs of hex digits; runs of windows that touch are one span.
+    "op10_suffixes": """
+        WITH docs AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (
+            SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS said
+            FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i
+                  FROM docs WHERE length(h) >= 800)
+        ),
+        found AS (
+            SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY said) > 1
+        ),
+        marked AS (
+            SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 400, true) AS new
+            FROM found
+        ),
+        spans AS (
+            SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+            FROM (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked)
+            GROUP BY doc_id, k
+        ),
+        per_doc AS (
+            SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last
+            FROM spans GROUP BY doc_id
+        ),
+        gaps AS (
+            SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+            UNION ALL
+            SELECT doc_id, coalesce(last, 0), length(h) // 2 FROM docs LEFT JOIN per_doc USING (doc_id)
+        ),
+        kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS said
+            FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
+               CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(said)) AS kept_sha256
+        FROM docs JOIN kept USING (doc_id) LEFT JOIN per_doc USING (doc_id)
+    """,
     "op8_decontaminate": f"""
         WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
