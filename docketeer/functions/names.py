@@ -212,17 +212,25 @@ def pair_clean(names: Column) -> Column:
     return F.transform(F.flatten(F.transform(names, parts_of)), swap)
 
 
+def split_legal_clean(names: Column) -> Column:
+    return split_all(split_all(remove_unwanted_each(names), ";"), ",")
+
+
+def finish_legal_clean(names: Column) -> Column:
+    marks = PUNCTUATION.replace("-", "")
+    stripped = F.transform(pair_clean(names), lambda n: squeeze(F.translate(n, marks, "")))
+    return F.array_remove(stripped, "")
+
+
 def legal_names_clean(names: Column, titles: Sequence[str], stop_words: Sequence[str]) -> Column:
     """Judges and attorneys without the losses of :func:`legal_names`.
 
     All parts of a split are kept, a name that cannot be paired stays as it is and changes no
     other, no name is cut to two tokens, and hyphens survive the punctuation.
     """
-    split = split_all(split_all(remove_unwanted_each(names), ";"), ",")
+    split = split_legal_clean(names)
     bare = without_words_each(without_words_each(split, titles), stop_words)
-    marks = PUNCTUATION.replace("-", "")
-    stripped = F.transform(pair_clean(bare), lambda n: squeeze(F.translate(n, marks, "")))
-    return F.array_remove(stripped, "")
+    return finish_legal_clean(bare)
 
 
 def party_names(names: Column) -> Column:

@@ -30,32 +30,36 @@ def normalize(
     stop_words: Sequence[str] | DataFrame,
     roster: DataFrame,
     titles: Sequence[str] | DataFrame = tuple(schema.TITLES),
+    clean: bool = False,
 ) -> DataFrame:
     """Fill the five normalized lists; failed rows keep their reason and have none.
 
     Word lists are Python lists or tables with a column ``word``. With lists and a roster short
     enough for literals this is one pass over the table without a shuffle; longer ones are
-    joined, with the same result. No key is needed.
+    joined, with the same result. No key is needed. ``clean`` takes the rules that lose nothing
+    (``names.legal_names_clean``, and the clean form of the roster match).
     """
     checked = with_name_errors(flat)
     good = F.col("error_reason").isNull()
     out = checked
     for role in schema.PARTY_ROLES:
         out = out.withColumn(f"{role}_normalized", F.when(good, N.party_names(F.col(role))))
+    legal_names = N.legal_names_clean if clean else N.legal_names
+    split, finish = (N.split_legal_clean, N.finish_legal_clean) if clean else (N.split_legal, N.finish_legal)
     short = [_short(words) for words in (titles, stop_words)]
     legal = [f"{role}_normalized" for role in schema.LEGAL_ROLES]
     if None not in short:
         for role, column in zip(schema.LEGAL_ROLES, legal, strict=True):
-            out = out.withColumn(column, F.when(good, N.legal_names(F.col(role), *short)))
+            out = out.withColumn(column, F.when(good, legal_names(F.col(role), *short)))
     else:
         for role, column in zip(schema.LEGAL_ROLES, legal, strict=True):
-            out = out.withColumn(column, F.when(good, N.split_legal(F.col(role))))
+            out = out.withColumn(column, F.when(good, split(F.col(role))))
         spark = flat.sparkSession
         tables = [_as_table(spark, words) for words in (titles, stop_words)]
         out = remove_from_lists(out, legal, tables[0].unionByName(tables[1]))
         for column in legal:
-            out = out.withColumn(column, N.finish_legal(F.col(column)))
-    return fix_judges(out, "judges_normalized", "judges_normalized", roster)
+            out = out.withColumn(column, finish(F.col(column)))
+    return fix_judges(out, "judges_normalized", "judges_normalized", roster, clean)
 
 
 def _short(words: Sequence[str] | DataFrame) -> list[str] | None:

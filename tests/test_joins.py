@@ -123,6 +123,21 @@ def test_roster_both_ways(spark):
         assert [r.out for r in out.orderBy("id").collect()] == want
 
 
+@pytest.mark.parametrize("clean", [False, True])
+def test_rows_that_share_an_id_keep_their_own_lists(spark, monkeypatch, clean):
+    lines = spark.createDataFrame(list(enumerate(LINES)), "pos int, line string")
+    rows = [(1, ["י' עמית"]), (1, ["עודד שחם", "א"]), (None, ["עודד שחם"]), (None, None)]
+    df = spark.createDataFrame(rows, "id int, names array<string>")
+    literal = roster.fix_judges(df, "names", "out", lines, clean).collect()
+    monkeypatch.setattr(roster, "LITERAL_LINES", 1)
+    joined = roster.fix_judges(df, "names", "out", lines, clean).collect()
+    assert sorted(map(str, literal)) == sorted(map(str, joined)) and len(joined) == 4
+    by_names = {tuple(r.names or ()): r.out for r in joined}
+    # The very surname comes first in the clean form, and a lone token stays.
+    want = ["עודד שחם", "א"] if clean else ["עידית איצקוביץ-שחר"]
+    assert by_names["עודד שחם", "א"] == want
+
+
 def test_long_rosters_are_joined(spark, monkeypatch):
     monkeypatch.setattr(roster, "LITERAL_LINES", 3)
     lines = spark.createDataFrame(list(enumerate(LINES)), "pos int, line string")

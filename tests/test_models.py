@@ -28,6 +28,14 @@ def test_train_test_split_sizes(labelled):
         assert got[c, "train"] == n - math.ceil(n * 0.3)
 
 
+def test_a_split_keeps_rows_without_a_group(spark):
+    rows = [(i, None if i % 3 else "a") for i in range(30)] + [(None, None), (None, "a")]
+    df = spark.createDataFrame(rows, "id long, g string")
+    got = sampling.train_test_split(df, "id", ["g"], 0.3, 1).collect()
+    assert len(got) == len(rows)
+    assert sum(r.g is None and r.part == "test" for r in got) == math.ceil(21 * 0.3)
+
+
 def test_ranks_do_not_depend_on_buckets(labelled, monkeypatch):
     many = sampling.hash_ranks(labelled, "id", ["category"], 3).collect()
     monkeypatch.setattr(sampling, "BUCKET_DIGITS", 1)

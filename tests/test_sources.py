@@ -79,6 +79,42 @@ def test_both_document_forms_and_failures(spark, folder):
     assert rows["list.json"].petitioner_normalized is None
 
 
+@pytest.mark.parametrize("clean", [False, True])
+def test_word_tables_do_what_lists_do(spark, folder, monkeypatch, clean):
+    flat = verdicts.flatten_verdicts(verdicts.read_verdicts(spark, str(folder / "in")))
+    words, titles = ["של", "ערן", "x"], ["עו\"ד", "ב\"כ"]
+    table = lambda xs: spark.createDataFrame([(x,) for x in xs], "word string")
+    plain = enrich.normalize(flat, words, roster_of(spark), titles, clean)
+    monkeypatch.setattr(lists, "LITERAL_WORDS", 1)
+    monkeypatch.setattr(lists.short_list, "__defaults__", (1,))
+    joined = enrich.normalize(flat, table(words), roster_of(spark), table(titles), clean)
+    columns = ["file_name", "error_reason", *(f"{r}_normalized" for r in schema.ROLES)]
+    assert sorted(map(str, joined.select(columns).collect())) == sorted(map(str, plain.select(columns).collect()))
+
+
+def test_a_dump_keeps_lines_without_an_id(spark, tmp_path):
+    good = json.dumps(dump("a"), ensure_ascii=False)
+    bare = json.dumps({k: v for k, v in dump("b").items() if k != "_id"}, ensure_ascii=False)
+    put(tmp_path / "x" / "0.json", "\n".join([good, "{broken", bare, "null x", "{broken", bare]))
+    flat = verdicts.flatten_verdicts(verdicts.read_index_dump(spark, str(tmp_path / "x")))
+    rows = flat.collect()
+    assert len(rows) == 6
+    assert sum(r.error_reason == "not a JSON object" for r in rows) == 3
+
+
+def test_repeated_ids_are_told(spark):
+    rows = [("x", "tax court", 1), ("x", "child law", 1), (None, "tax court", 1)]
+    flat = spark.createDataFrame([r[:2] for r in rows], "id string, summary string")
+    flat = flat.selectExpr("*", "cast(null as string) category", "cast(null as string) error_reason")
+    texts = [(str(i), "tax appeal court" if i % 2 else "child law", "Civil" if i % 2 else "Family") for i in range(12)]
+    labelled = spark.createDataFrame(texts, "id string, summary string, category string")
+    sizes = {"Civil": 1, "Family": 1}
+    model, _ = enrich.train(labelled, "id", "summary", "category", sizes)
+    got = enrich.classify(flat, model, sizes).collect()
+    assert sorted(r.error_reason for r in got) == ["missing id", "repeated id", "repeated id"]
+    assert all(r.category is None for r in got)
+
+
 def test_written_verdicts_are_read_again(spark, folder):
     flat = verdicts.flatten_verdicts(verdicts.read_verdicts(spark, str(folder / "in")))
     out = enrich.normalize(flat, ["של"], roster_of(spark)).where("error_reason IS NULL")
