@@ -86,7 +86,7 @@ def op7_factors(spark: SparkSession, folder: str) -> DataFrame:
     found = factors.score(documents, machine)
     return found.select(
         F.col("row.doc_id").alias("doc_id"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
-    ).select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
+    ).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
