@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,12 @@ WHITE = tuple(range(9, 14)) + (32,)
 PIECE_BYTES = 1 << 20
 
 
+def held(name: str) -> dict:
+    """A dict that lives as long as the Python process, whatever functions come and go by value."""
+    module = sys.modules.setdefault("docketeer_held", ModuleType("docketeer_held"))
+    return vars(module).setdefault(name, {})
+
+
 def spaced() -> np.ndarray:
     """Which bytes belong to a word ``[^\\x20\\x09-\\x0D]+``."""
     table = np.ones(256, bool)

@@ -22,7 +22,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_LETTERS = 8_000_000
 
 _WORD = re.compile(rb"[^ ]+")
-_automata: dict[str, ahocorasick.Automaton] = {}
 
 
 def item_windows(items: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -42,13 +41,14 @@ def item_windows(items: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 def _automaton(name: str, block: Broadcast) -> ahocorasick.Automaton:
     """The automaton of a broadcast block, built once in each Python worker."""
-    if name not in _automata:
+    automata = A.held("automata")
+    if name not in automata:
         made = ahocorasick.Automaton()
         for window, items in block.value:
             made.add_word(f" {window} ", (window.count(" ") + 1, items))
         made.make_automaton()
-        _automata[name] = made
-    return _automata[name]
+        automata[name] = made
+    return automata[name]
 
 
 def _hits(automaton: ahocorasick.Automaton, data: bytes) -> tuple[list[tuple[int, int]], set[str]]:

@@ -14,11 +14,11 @@ from docketeer.llm import arrays as A
 
 # Odd multipliers, which have inverses modulo 2^64.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    held = _powers.get(factor)
+    powers = A.held("powers")
+    held = powers.get(factor)
     if held is None or len(held[0]) < size:
         size = max(size, 1 << 21)
         tables = []
@@ -26,7 +26,7 @@ def _power_tables(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
             tables.append(np.cumprod(steps, dtype=np.uint64))
-        held = _powers[factor] = (tables[0], tables[1])
+        held = powers[factor] = (tables[0], tables[1])
     return held
 
 
