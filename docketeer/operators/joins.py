@@ -68,20 +68,22 @@ def key_filter(keys: DataFrame, key: str) -> DataFrame:
     However many keys there are, it has FILTER_BITS / 64 rows at most; with very many of them
     it lets everything pass.
     """
-    return keys.groupBy(_filter_word(key)).agg(F.bit_or(_filter_bit(key)).alias("_bits"))
+    return keys.groupBy(filter_word(key)).agg(F.bit_or(filter_bit(key)).alias("_bits"))
 
 
 def passing(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
     """The rows whose key may be among those of a :func:`key_filter`, found without a shuffle."""
-    met = df.withColumn("_word", _filter_word(key)).join(F.broadcast(bits), "_word")
-    return met.where(F.col("_bits").bitwiseAND(_filter_bit(key)) != 0).drop("_word", "_bits")
+    met = df.withColumn("_word", filter_word(key)).join(F.broadcast(bits), "_word")
+    return met.where(F.col("_bits").bitwiseAND(filter_bit(key)) != 0).drop("_word", "_bits")
 
 
-def _filter_word(key: str) -> Column:
+def filter_word(key: str) -> Column:
+    """The row of a key filter that has the key's bit."""
     return F.pmod(F.shiftright(F.col(key), 6), F.lit(FILTER_BITS // 64)).alias("_word")
 
 
-def _filter_bit(key: str) -> Column:
+def filter_bit(key: str) -> Column:
+    """The key's bit in its row."""
     return F.expr(f"shiftleft(1L, cast(`{key}` & 63L as int))")
 
 
