@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.llm import arrays as A
+from docketeer.operators.joins import filter_bit, filter_word, key_filter
 
 # Odd multipliers, which have inverses modulo 2^64.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -64,6 +65,20 @@ def beside(rows: DataFrame, marks: DataFrame, how: str = "inner") -> DataFrame:
     return rows.join(marks, on, how).drop("_id", "_th")
 
 
+def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Add ``likely``: whether ``marks`` may have the row's (id, th), from a filter of fixed size.
+
+    Rows that it rules out need not be shuffled to meet the marks. However many marks there are,
+    the filter that is broadcast has at most FILTER_BITS / 64 rows; it then rules out less.
+    """
+    key = F.xxhash64("id", "th")
+    bits = key_filter(marks.select(key.alias("_key")), "_key").toDF("_word", "_bits")
+    keyed = rows.withColumn("_key", key).withColumn("_word", filter_word("_key"))
+    met = keyed.join(F.broadcast(bits), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(filter_bit("_key")) != 0, F.lit(False))
+    return met.withColumn("likely", hit).drop("_key", "_word", "_bits")
+
+
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every run of set flags."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))

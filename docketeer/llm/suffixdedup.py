@@ -94,8 +94,9 @@ def _anchor_rows(docs: DataFrame, length: int, probe: int) -> DataFrame:
 
 def _regions(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(shard, id, th, first, last, bytes) of the wanted regions."""
-    listed = wanted.groupBy("id", "th").agg(
-        F.collect_list(F.struct("shard", "first", "last")).alias("regions")
+    listed = settled(
+        wanted.groupBy("id", "th").agg(F.collect_list(F.struct("shard", "first", "last")).alias("regions")),
+        "wanted",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +118,8 @@ def _regions(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, ["shard", "id", "th", "first", "last", "bytes"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return P.beside(docs, listed).mapInArrow(
+    near = P.likely(docs, listed).where("likely").drop("likely")
+    return P.beside(near, listed).mapInArrow(
         run, f"shard long, id {kind}, th long, first int, last int, bytes binary"
     )
 
@@ -160,7 +162,9 @@ def _shard_spans(regions: DataFrame, length: int) -> DataFrame:
 
 def _window_spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The same for regions of very frequent hashes: windows of equal 128-bit hashes are counted."""
-    listed = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("regions"))
+    listed = settled(
+        wanted.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("regions")), "wanted"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +186,8 @@ def _window_spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, ["id", "th", "start", "w1", "w2"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    windows = P.beside(docs, listed).mapInArrow(run, f"id {kind}, th long, start int, w1 long, w2 long")
+    near = P.likely(docs, listed).where("likely").drop("likely")
+    windows = P.beside(near, listed).mapInArrow(run, f"id {kind}, th long, start int, w1 long, w2 long")
     windows = settled(windows, "windows")
     often = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = windows.join(often, ["w1", "w2"])
@@ -223,11 +228,17 @@ def remove_repeats(
     place covers. Null texts are empty; texts under ``length`` bytes stay whole; rows that repeat
     cover each other as any copies do; a null key is a key like any other; an empty table gives
     an empty one; other columns are not looked at. The anchors, their counts and the ranges are
-    written to the shared folder, the texts are shuffled by key twice.
+    written to the shared folder. Texts are shuffled by key twice, those without any region to
+    compare, or any range to remove, mostly not at all.
     """
     docs = P.with_identity(df, key, text)
     found = repeated_spans(docs, length, probe)
     found = found.groupBy("id", "th").agg(
         F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
     )
-    return P.cut_bytes(P.beside(docs, settled(found, "spans"), "left"))
+    found = settled(found, "spans")
+    marked = P.likely(docs, found)
+    near = P.beside(marked.where("likely"), found, "left")
+    none = F.lit(None).cast("array<int>")
+    far = marked.where("not likely").withColumns({"starts": none, "ends": none})
+    return P.cut_bytes(near.unionByName(far))
