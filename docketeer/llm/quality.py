@@ -17,8 +17,8 @@ from docketeer.llm.profile import Profile, profile
 # Cells for hashed words, and for hashed runs of CHARS bytes.
 WORD_CELLS = CHAR_CELLS = 2048
 CHARS = 3
-# A text is kept from this probability of good quality on.
-KEEP_FROM = 0.5
+# A text goes only where the model is this sure of poor quality, so that clean ones stay.
+KEEP_FROM = 0.05
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 

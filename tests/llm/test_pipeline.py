@@ -34,7 +34,7 @@ def test_stages(spark):
 
     model = quality.fit(documents.select("doc_id", "text"), labels)
     scored = {r.doc_id: r.p for r in quality.assess(documents, model).selectExpr("row.doc_id", "probability p").collect()}
-    assert set(good) == {d for d, r in raw.items() if not counts(r.text)[5] and scored[d] >= 0.5}
+    assert set(good) == {d for d, r in raw.items() if not counts(r.text)[5] and scored[d] >= quality.KEEP_FROM}
     assert 0 < len(good) < len(raw) and all(good[d] == raw[d] for d in good)
     marked = {r.doc_id: r.quality for r in labels.collect()}
     fine = [d for d, r in raw.items() if marked.get(d) == 1 and not counts(r.text)[5]]

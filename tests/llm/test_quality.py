@@ -33,7 +33,7 @@ def test_query_against_python(spark):
     for r in rows:
         got = [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed]
         assert got == counts(texts[r.doc_id]), r.doc_id
-        assert r.kept == (not r.base_failed and r.probability >= 0.5)
+        assert r.kept == (not r.base_failed and r.probability >= quality.KEEP_FROM)
 
 
 def test_labels_not_seen(spark):
