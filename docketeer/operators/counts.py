@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -160,6 +161,8 @@ def watched(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
 
 # Letters of a name by which it is looked up in texts.
 PROBE = 8
+# Up to this many names are tried one by one on every text, which then needs no join.
+LITERAL_NAMES = 2000
 
 
 def _entries(names: DataFrame, columns: Sequence[str], pos: str) -> DataFrame:
@@ -190,14 +193,12 @@ def _met(texts: DataFrame, entries: DataFrame, sizes: Sequence[int], bits: DataF
     return likely.join(entries, on).select("digest", "kind", "pos", "name").distinct()
 
 
-def _folded(
-    texts: DataFrame, met: DataFrame, empties: DataFrame, kinds: Sequence[str], longest: int
+def _met_lists(
+    texts: DataFrame, met: DataFrame, empties: DataFrame, kinds: Sequence[str]
 ) -> DataFrame:
-    """(digest, kind, n, hits, joints): the names met by each text, in order, and new joints.
+    """(digest, text, n, kind, names): the names to try on each text, in order.
 
-    In the order of the table a name found in what is left of the text is a hit and is erased
-    everywhere; the text being blank after that ends the search. ``joints`` are the places where
-    an erasure put two parts together, with as many letters around as a name may have.
+    ``kinds`` are the columns with empty names, which every text meets.
     """
     entry = F.struct("pos", "name")
     lists = met.groupBy("digest", "kind").agg(F.collect_list(entry).alias("_own"))
@@ -207,7 +208,38 @@ def _folded(
         lists = lists.join(each, ["digest", "kind"], "full_outer")
     held = texts.select("digest", "text", "n").join(lists, "digest")
     listed = held.join(F.broadcast(empties), "kind", "left")
-    names = F.array_sort(F.concat(F.coalesce("_own", nothing), F.coalesce("_empties", nothing)))
+    names = F.concat(F.coalesce("_own", nothing), F.coalesce("_empties", nothing))
+    return listed.select("digest", "text", "n", "kind", F.array_sort(names).alias("names"))
+
+
+def _every_list(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """The same with all of at most LITERAL_NAMES names for every text."""
+    kind = entries.schema["pos"].dataType.simpleString()
+    lists: dict[str, list[dict]] = {}
+    for r in entries.orderBy("pos", "name").collect():
+        lists.setdefault(r["kind"], []).append({"pos": r["pos"], "name": r["name"]})
+    each = [
+        F.struct(
+            F.lit(k).alias("kind"),
+            F.from_json(
+                F.lit(json.dumps(names, ensure_ascii=False)), f"array<struct<pos:{kind},name:string>>"
+            ).alias("names"),
+        )
+        for k, names in lists.items()
+    ]
+    rows = texts.select("digest", "text", "n", F.explode(F.array(*each)).alias("_k"))
+    return rows.select("digest", "text", "n", "_k.kind", "_k.names")
+
+
+def _folded(listed: DataFrame, longest: int) -> DataFrame:
+    """(digest, kind, n, hits, joints): the names met by each text, in order, and new joints.
+
+    In the order of the table a name found in what is left of the text is a hit and is erased
+    everywhere; the text being blank after that ends the search. ``joints`` are the places where
+    an erasure put two parts together, with as many letters around as a name may have; none are
+    noted for a ``longest`` of 0.
+    """
+    nothing = F.array().cast(listed.schema["names"].dataType)
     start = F.struct(
         F.col("text").alias("text"),
         nothing.alias("hits"),
@@ -235,7 +267,7 @@ def _folded(
             return F.struct(
                 left.alias("text"),
                 F.concat(state["hits"], F.array(entry)).alias("hits"),
-                F.array_distinct(F.concat(state["joints"], around)).alias("joints"),
+                (F.array_distinct(F.concat(state["joints"], around)) if longest else state["joints"]).alias("joints"),
                 _blank(left).alias("done"),
             )
 
@@ -250,10 +282,34 @@ def _folded(
         cut = bind(parts, erased)
         return F.when(~hit, state).when(name == "", counted).otherwise(cut)
 
-    folded = listed.withColumn("_f", F.aggregate(names, start, step))
+    folded = listed.withColumn("_f", F.aggregate("names", start, step))
     return folded.select("digest", "kind", "n", F.col("_f.hits").alias("hits"), F.col("_f.joints").alias("joints"))
 
 
+def _settled_fold(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """The fold over the names that each text may meet, repeated until no erasure adds one."""
+    longest = entries.agg(F.max(F.length("name"))).first()[0] or 1
+    size = F.least(F.length("name"), F.lit(PROBE))
+    sizes = sorted(r[0] for r in entries.where("name <> ''").select(size).distinct().collect())
+    # One row for each column.
+    empties = entries.where("name = ''").groupBy("kind").agg(
+        F.collect_list(F.struct("pos", "name")).alias("_empties")
+    )
+    kinds = [r[0] for r in empties.select("kind").collect()]
+    prefix = F.xxhash64(size, F.substr("name", F.lit(1), size))
+    keyed = settled(entries.where("name <> ''").withColumn("_key", prefix), "keys")
+    bits = settled(key_filter(keyed, "_key"), "bits")
+    met = settled(_met(texts, keyed, sizes, bits), "met")
+    while True:
+        folded = settled(_folded(_met_lists(texts, met, empties, kinds), longest), "folded")
+        joints = folded.where("size(joints) > 0").select("digest", "kind", F.explode("joints").alias("text"))
+        more = _met(joints, keyed, sizes, bits).join(met, ["digest", "kind", "pos", "name"], "left_anti")
+        more = settled(more, "more")
+        if more.isEmpty():
+            return folded
+        met = settled(met.unionByName(more), "met")
+
+
 def _blank(text: Column) -> Column:
     return text.rlike(r"(?U)\A[\s\x1c-\x1f]*\z")
 
@@ -274,8 +330,9 @@ def normalized_name_counts(
     and one that is blank from the start meets the very first name at most. Each column is
     counted over the full texts; an empty name meets whatever is left.
 
-    Names stay a table: a text is joined to the names whose first letters it holds, and these
-    are tried in order within its row. An erasure may put letters together that form another
+    Up to LITERAL_NAMES names are tried one by one on every text. More of them stay a table: a
+    text is joined to the names whose first letters it holds, and these are tried in order
+    within its row, with the same result. An erasure may put letters together that form another
     name, so the joints it made are looked up as well, and texts with such a name are done
     again, until no text has a new one.
     """
@@ -286,30 +343,15 @@ def normalized_name_counts(
     )
     texts = settled(texts, "texts")
     entries = settled(_entries(names, columns, pos), "entries")
-    longest = entries.agg(F.max(F.length("name"))).first()[0] or 1
-    size = F.least(F.length("name"), F.lit(PROBE))
-    sizes = sorted(r[0] for r in entries.where("name <> ''").select(size).distinct().collect())
-    # One row for each column, in this and the next table.
+    # One row for each column.
     first = entries.groupBy("kind").agg(F.min(F.struct("pos", "name")).alias("f")).select("kind", "f.*")
-    empties = entries.where("name = ''").groupBy("kind").agg(
-        F.collect_list(F.struct("pos", "name")).alias("_empties")
-    )
-    keyed = entries.where("name <> ''").withColumn("_key", F.xxhash64(size, F.substr("name", F.lit(1), size)))
-    keyed = settled(keyed, "keys")
-    bits = settled(key_filter(keyed, "_key"), "bits")
-
     full = texts.where(~_blank(F.col("text")))
-    met = settled(_met(full, keyed, sizes, bits), "met")
-    kinds = [r[0] for r in empties.select("kind").collect()]
-    while True:
-        folded = settled(_folded(full, met, empties, kinds, longest), "folded")
-        joints = folded.where("size(joints) > 0").select("digest", "kind", F.explode("joints").alias("text"))
-        more = _met(joints, keyed, sizes, bits).join(met, ["digest", "kind", "pos", "name"], "left_anti")
-        more = settled(more, "more")
-        if more.isEmpty():
-            break
-        met = settled(met.unionByName(more), "met")
-    hits = folded.select("kind", "n", F.explode("hits").alias("_h")).select("kind", "_h.pos", "_h.name", "n")
+    n_names = entries.count()
+    if not n_names:
+        hits = entries.select("kind", "pos", "name", F.lit(0).cast("long").alias("n"))
+    else:
+        folded = _folded(_every_list(full, entries), 0) if n_names <= LITERAL_NAMES else _settled_fold(full, entries)
+        hits = folded.select("kind", "n", F.explode("hits").alias("_h")).select("kind", "_h.pos", "_h.name", "n")
     firsts = [F.struct(*(F.lit(r[c]).alias(c) for c in ("kind", "pos", "name"))) for r in first.collect()]
     if firsts:
         blank = texts.where(_blank(F.col("text"))).select("text", "n", F.explode(F.array(*firsts)).alias("_h"))

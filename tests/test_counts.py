@@ -19,9 +19,10 @@ def consumed(texts, names):
     return out
 
 
-@pytest.mark.parametrize("probe", [8, 1])
-def test_consuming_counts_against_the_loop(spark, monkeypatch, probe):
+@pytest.mark.parametrize(("probe", "literal"), [(8, 2000), (8, 0), (1, 0)])
+def test_consuming_counts_against_the_loop(spark, monkeypatch, probe, literal):
     monkeypatch.setattr(counts, "PROBE", probe)
+    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
     rng = random.Random(probe)
     names = ["ab", "b", "", "a a", "aab", "ab", " ", "c", "ba"]
     texts = ["", " ", "aabb c", *("".join(rng.choices("abc ", k=rng.randint(1, 12))) for _ in range(80))]
@@ -31,7 +32,9 @@ def test_consuming_counts_against_the_loop(spark, monkeypatch, probe):
     assert [r.n for r in got] == consumed(texts, names)
 
 
-def test_names_that_share_a_position_count_apart(spark):
+@pytest.mark.parametrize("literal", [2000, 0])
+def test_names_that_share_a_position_count_apart(spark, monkeypatch, literal):
+    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
     df = spark.createDataFrame([("a b",), ("c.*\\E a",)], "t string")
     table = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (2, ".*\\E"), (2, None)], "pos int, name string")
     got = counts.consuming_counts(df, "t", table, "name").collect()
@@ -40,7 +43,9 @@ def test_names_that_share_a_position_count_apart(spark):
     assert counts.consuming_counts(df, "t", table.limit(0), "name").count() == 0
 
 
-def test_an_erasure_forms_a_later_name(spark):
+@pytest.mark.parametrize("literal", [2000, 0])
+def test_an_erasure_forms_a_later_name(spark, monkeypatch, literal):
+    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
     df = spark.createDataFrame([("xabyz" + "q" * 30,), ("abab",)], "t string")
     table = spark.createDataFrame([(0, "ab"), (1, "xyz"), (2, "yq"), (3, "zqq")], "pos int, name string")
     got = counts.consuming_counts(df, "t", table, "name").collect()
