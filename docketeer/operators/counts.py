@@ -267,7 +267,15 @@ def _folded(listed: DataFrame, longest: int) -> DataFrame:
             return F.struct(
                 left.alias("text"),
                 F.concat(state["hits"], F.array(entry)).alias("hits"),
-                (F.array_distinct(F.concat(state["joints"], around)) if longest else state["joints"]).alias("joints"),
+                F.array_distinct(F.concat(state["joints"], around)).alias("joints"),
+                _blank(left).alias("done"),
+            )
+
+        def gone(left: Column) -> Column:
+            return F.struct(
+                left.alias("text"),
+                F.concat(state["hits"], F.array(entry)).alias("hits"),
+                state["joints"].alias("joints"),
                 _blank(left).alias("done"),
             )
 
@@ -279,7 +287,7 @@ def _folded(listed: DataFrame, longest: int) -> DataFrame:
         )
         quoted = F.replace(name, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
         parts = F.split(state["text"], F.concat(F.lit("\\Q"), quoted, F.lit("\\E")))
-        cut = bind(parts, erased)
+        cut = bind(parts, erased) if longest else bind(F.replace(state["text"], name, F.lit("")), gone)
         return F.when(~hit, state).when(name == "", counted).otherwise(cut)
 
     folded = listed.withColumn("_f", F.aggregate("names", start, step))
