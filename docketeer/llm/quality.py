@@ -17,8 +17,10 @@ from docketeer.llm.profile import Profile, profile
 # Cells for hashed words, and for hashed runs of CHARS bytes.
 WORD_CELLS = CHAR_CELLS = 2048
 CHARS = 3
-# A text goes only where the model is this sure of poor quality, so that clean ones stay.
-KEEP_FROM = 0.05
+# A text is kept from this probability of good quality on.
+KEEP_FROM = 0.5
+# Parts of the sample; each is scored by a model of the others for the calibration.
+FOLDS = 5
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
@@ -65,12 +67,27 @@ def _features(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> np
     return out
 
 
+def _learn(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias, both kinds of labels weighing the same."""
+    known = y.astype(np.float32)
+    weight = np.where(known == 1, 0.5 / known.mean(), 0.5 / (1 - known.mean())).astype(np.float32)
+    w, b = np.zeros(x.shape[1], np.float32), np.zeros(1, np.float32)
+
+    def gradients(rows: np.ndarray) -> list[np.ndarray]:
+        error = weight[rows] * (L.sigmoid(x[rows] @ w + b) - known[rows])
+        return [x[rows].T @ error / len(rows) + 1e-3 * w, error.mean(keepdims=True)]
+
+    L.adam([w, b], gradients, len(known), rate=0.005)
+    return w, b
+
+
 def fit(
     documents: DataFrame, labels: DataFrame, text: str = "text", rows: int = L.TRAIN_ROWS
 ) -> Model | None:
-    """Fit on at most ``rows`` labelled documents; a fifth of them only sets the calibration.
+    """Fit on at most ``rows`` labelled documents, calibrated on all of them out of fold.
 
-    None where there are no labels of both kinds: nothing can be learned then.
+    None where there are no labels of both kinds: nothing can be learned then. With a single row
+    of a kind no fold can do without it, and the calibration uses the model of all rows.
     """
     if text != "text":
         documents = documents.select("doc_id", documents[text].alias("text"))
@@ -79,20 +96,21 @@ def fit(
         return None
     scale = x.std(axis=0) + 1e-4
     x /= scale
-    fifth = np.arange(len(y)) % 5 == 0
-    if len(set(y[fifth].tolist())) < 2 or len(set(y[~fifth].tolist())) < 2:
-        fifth = np.zeros(len(y), bool)
-    inner, known = x[~fifth], y[~fifth].astype(np.float32)
-    weight = np.where(known == 1, 0.5 / known.mean(), 0.5 / (1 - known.mean())).astype(np.float32)
-    w, b = np.zeros(x.shape[1], np.float32), np.zeros(1, np.float32)
-
-    def gradients(rows: np.ndarray) -> list[np.ndarray]:
-        error = weight[rows] * (L.sigmoid(inner[rows] @ w + b) - known[rows])
-        return [inner[rows].T @ error / len(rows) + 1e-3 * w, error.mean(keepdims=True)]
-
-    L.adam([w, b], gradients, len(known), rate=0.005)
-    tested = fifth if fifth.any() else ~fifth
-    slope, shift = L.calibration(x[tested] @ w + b, y[tested])
+    if min(np.bincount(y, minlength=2)[:2]) > 1:
+        fold = np.empty(len(y), np.int64)
+        for kind in (0, 1):
+            fold[y == kind] = np.arange((y == kind).sum()) % FOLDS
+        folds = np.unique(fold).tolist()
+        learned = [_learn(x[fold != k], y[fold != k]) for k in folds]
+        scores = np.empty(len(y), np.float32)
+        for k, (w, b) in zip(folds, learned, strict=True):
+            scores[fold == k] = x[fold == k] @ w + b
+        # The mean of the folds' models scores on the scale that is calibrated.
+        w, b = (np.mean(each, axis=0) for each in zip(*learned, strict=True))
+    else:
+        w, b = _learn(x, y)
+        scores = x @ w + b
+    slope, shift = L.calibration(scores, y)
     w = w / scale
     return Model(w[:WORD_CELLS], w[WORD_CELLS:], float(b[0]), slope, shift)
 

@@ -66,3 +66,18 @@ def test_edges(spark, labelled):
         got = [getattr(r, c) for c in quality.COUNTS] + [r.base_failed]
         assert got == counts(r.row.text)
     assert quality.assess(frame.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize(("poor", "good", "least"), [(5, 400, 0.2), (10_000, 10_000, 0.95)])
+def test_poor_rows_go(spark, poor, good, least):
+    """Poor rows that were not seen go, with few poor labels too, and clean ones stay."""
+    folder = "/root/testdata/sf0.1"
+    documents = spark.read.parquet(f"{folder}/documents.parquet").repartition(8)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen = labels.where("doc_id % 3 != 1").orderBy("doc_id")
+    seen = seen.where("quality = 0").limit(poor).union(seen.where("quality = 1").limit(good))
+    found = quality.assess(documents, quality.fit(documents, seen)).where("not base_failed")
+    rows = found.selectExpr("row.doc_id", "kept").join(labels.where("doc_id % 3 = 1"), "doc_id").collect()
+    kept = {k: [r.kept for r in rows if r.quality == k] for k in (0, 1)}
+    assert sum(kept[1]) >= 0.99 * len(kept[1])
+    assert len(kept[0]) - sum(kept[0]) >= least * len(kept[0]) and len(kept[0]) > 50
