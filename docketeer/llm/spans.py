@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketeer.llm import arrays as A
-from docketeer.operators.joins import filter_bit, filter_word, key_filter
-
 # Odd multipliers, which have inverses modulo 2^64.
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -71,6 +69,9 @@ def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
     Rows that it rules out need not be shuffled to meet the marks. However many marks there are,
     the filter that is broadcast has at most FILTER_BITS / 64 rows; it then rules out less.
     """
+    # Tasks get this module by value, and need not have the rest of the library.
+    from docketeer.operators.joins import filter_bit, filter_word, key_filter
+
     key = F.xxhash64("id", "th")
     bits = key_filter(marks.select(key.alias("_key")), "_key").toDF("_word", "_bits")
     keyed = rows.withColumn("_key", key).withColumn("_word", filter_word("_key"))
