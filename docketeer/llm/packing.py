@@ -15,6 +15,8 @@ its length.
 from __future__ import annotations
 
 import bisect
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from docketeer.llm import arrays as A
 from docketeer.session import settled
@@ -32,8 +34,34 @@ from docketeer.session import settled
 CAPACITY, END_ID = 4096, 1
 # Chunks of text between white space whose ids a worker keeps, and the longest of them in bytes.
 KEPT_CHUNKS, LONGEST_CHUNK = 1 << 19, 64
-# Signs that the tokenizer keeps apart from a letter before them.
-TAIL = b".,;:!?#$%&*|<>()"
+# What a tokenizer must say of itself for its texts to be taken in chunks: fixed values of its file.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# A word of letters that have no other form than a small and a large one, and the signs behind it.
+PLAIN = re.compile(r"([a-zß-öø-ÿÀ-ÖØ-Þ]+)([.,;:!?#$%&*|<>()]*)")
+
+
+def _bytes_of(chosen: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[b for b in range(33, 127) if re.match(chosen, chr(b))]] = True
+    return table
+
+
+LETTERS, SIGNS = _bytes_of("[a-z]"), _bytes_of("[^a-zA-Z0-9']")
 # Pieces of one length that are numbered in one task.
 NUMBERED = 100_000
 
@@ -49,69 +77,114 @@ class Order(NamedTuple):
     offset: int
 
 
-class Chunks(dict):
+class Chunks:
     """The ids of chunks between white space, as little-endian numbers of 32 bits.
 
-    The tokenizer drops white space and never looks across it, lowers all letters, and parts an
-    ASCII letter from the signs behind it, so a chunk's ids are those of its lowered stem and of its
-    tail of signs. Chunks seen lately are kept.
+    For a tokenizer that lowers all letters, drops white space and never looks across it, and that
+    parts letters from the signs behind them: a chunk's ids are then those of its word and of its
+    tail of signs, wherever it stands. Words of plain letters are taken as they are, without the
+    steps that would leave them so. Chunks seen lately are kept.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        self.known: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.marks = [t.content.lower().encode() for t in added]
+        spec = json.loads(self.tokenizer.to_str())
+        self.chunked = (spec["normalizer"], spec["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER)
+        self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The ids that end a word.
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        self.last = np.array([t.endswith(suffix) for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])])
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
 
     def marked(self, text: bytes) -> bool:
-        """Whether a token stands in the text that the tokenizer takes by its letters as they are."""
-        return any(m in text.lower() for m in self.marks)
+        """Whether a token may stand in the text that the tokenizer takes by its letters as they are."""
+        low = text.lower().replace(b" ", b"")
+        return any(m in low for m in self.marks)
 
     def learn(self, chunks: set[bytes]) -> None:
         """Make sure that all these chunks are here."""
-        if len(self) > KEPT_CHUNKS:
-            self.clear()
-        split, new = [], set()
-        for chunk in chunks - self.keys():
-            stem = chunk.rstrip(TAIL)
-            if len(stem) < len(chunk) and stem[-1:].isalpha() and not self.marked(chunk):
-                split.append((chunk, stem))
-                new.add(stem)
-                new.add(chunk[len(stem) :])
+        known = self.known
+        if len(known) > KEPT_CHUNKS:
+            known.clear()
+        missing = chunks.difference(known)
+        # Added tokens are of signs and letters, so no word of plain letters has one.
+        words = {c for c in missing if c.isalpha()}
+        split, others = [], set()
+        for chunk in missing - words:
+            found = PLAIN.fullmatch(chunk.decode())
+            if found is None:
+                others.add(chunk)
+                continue
+            word, tail = found[1].lower().encode(), found[2].encode()
+            if word != chunk:
+                split.append((chunk, word, tail))
+            if word not in known:
+                words.add(word)
+            if tail not in known:
+                others.add(tail)
+        self._encode(self.plain, list(words))
+        self._encode(self.tokenizer, list(others))
+        known.update((chunk, known[word] + known[tail]) for chunk, word, tail in split)
+
+    def _encode(self, tokenizer: Tokenizer, chunks: list[bytes]) -> None:
+        for at in range(0, len(chunks), 1024):
+            some = chunks[at : at + 1024]
+            if tokenizer is self.plain:
+                (found,) = tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                ends = np.flatnonzero(self.last[ids]) + 1
             else:
-                new.add(chunk)
-        made = list(new - self.keys())
-        for at in range(0, len(made), 4096):
-            some = made[at : at + 4096]
-            found = self.tokenizer.encode([c.decode() for c in some], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            # A sign that the tokenizer drops leaves a chunk without ids.
-            ends = np.cumsum(np.bincount(np.array(found.word_ids, int), minlength=len(some))) * 4
-            begin = 0
-            for chunk, end in zip(some, ends.tolist(), strict=True):
-                self[chunk] = ids[begin:end]
-                begin = end
-        self.update((chunk, self[stem] + self[chunk[len(stem) :]]) for chunk, stem in split)
+                found = tokenizer.encode([c.decode() for c in some], is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                # A sign that the tokenizer drops leaves a chunk without ids.
+                ends = np.cumsum(np.bincount(np.array(found.word_ids, int), minlength=len(some)))
+            ends, held = (4 * ends).tolist(), ids.tobytes()
+            self.known.update((c, held[b:e]) for c, b, e in zip(some, [0, *ends[:-1]], ends, strict=True))
 
     def forget_long(self, chunks: set[bytes]) -> None:
         for chunk in chunks:
             if len(chunk) > LONGEST_CHUNK:
-                self.pop(chunk, None)
-                self.pop(chunk.rstrip(TAIL), None)
+                self.known.pop(chunk, None)
+                found = PLAIN.fullmatch(chunk.decode())
+                if found is not None:
+                    self.known.pop(found[1].lower().encode(), None)
+                    self.known.pop(found[2].encode(), None)
 
 
-def token_ids(texts: list[str | None], path: str, end: int = END_ID) -> list[bytes]:
+def parted(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts with A-Z lowered and a blank between an ASCII letter and a sign, and their starts."""
+    low = A.lowered(data)
+    cuts = np.flatnonzero(LETTERS[low[:-1]] & SIGNS[low[1:]]) + 1
+    return np.insert(low, cuts, 32), offsets + np.searchsorted(cuts, offsets)
+
+
+def token_ids(data: np.ndarray, offsets: np.ndarray, path: str, end: int = END_ID) -> list[bytes]:
     """The ids of each text and the end id, as little-endian numbers of 32 bits."""
     held = A.held("tokenizers")
     if path not in held:
         held[path] = Chunks(path)
     ids = held[path]
-    data = [(t or "").encode() for t in texts]
-    chunks = [(d if ids.marked(d) else d.lower()).split() for d in data]
+    last = np.array([end], "<u4").tobytes()
+    low, starts = parted(data, offsets)
+    said = low.tobytes()
+    chunks: list[list[bytes]] = [said[a:b].split() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    whole = {}
+    if not ids.chunked or ids.marked(said):
+        for i in range(len(chunks)):
+            text = data[offsets[i] : offsets[i + 1]].tobytes()
+            if not ids.chunked or ids.marked(text):
+                whole[i] = text.decode()
+                chunks[i] = []
     seen = set().union(*chunks)
     ids.learn(seen)
-    last = np.array([end], "<u4").tobytes()
-    out = [b"".join([*map(ids.__getitem__, text), last]) for text in chunks]
+    out = [b"".join([*map(ids.known.__getitem__, text), last]) for text in chunks]
+    for i, found in zip(whole, ids.tokenizer.encode_batch(list(whole.values()), add_special_tokens=False), strict=True):
+        out[i] = np.array(found.ids, "<u4").tobytes() + last
     ids.forget_long(seen)
     return out
 
@@ -121,9 +194,9 @@ def pieces(df: DataFrame, key: str, text: str, path: str, capacity: int, end: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, _ in A.pieces(batch):
+            for part, data, offsets in A.pieces(batch, most=4 << 20):
                 out: list[tuple] = []
-                for row, ids in enumerate(token_ids(part.column(1).to_pylist(), path, end)):
+                for row, ids in enumerate(token_ids(data, offsets, path, end)):
                     for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                         held = ids[at : at + 4 * capacity]
                         out.append((row, number, at // 4, len(held) // 4, zlib.crc32(held), held))

@@ -7,17 +7,18 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docketeer.llm import packing
+from docketeer.llm import arrays, packing
 
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
 TEXTS = [
     None, "", " \n\t", "One two, three. ONE TWO, THREE.", "don't we'll 's 't s' it's.'s", "x" * 5000, "&&&### a&&& b%%%,",
     "é é É. ́a ÉTÉ, ΟΔΟΣ ΟΔΟΣ. İI K", "日本語 ٣٤٥ 12345 🙂🙂 a b c​d", "a" * 40 + "." * 40, "word " * 9000,
-    "<|endoftext|> <|startoftext|>. x<|endoftext|>.", "a.b.c. a-b- (c) \"d\" f(x)", "﻿bom \x00 nul \x7f",
+    "<|endoftext|> <|startoftext|>. x<|endoftext|>.", "<|EndOfText|>", "<|end oftext|>", "a<|endoftext|>b", "a.b.c. a-b- (c) \"d\" f(x)", "﻿bom \x00 nul \x7f",
 ]
 
 
@@ -33,8 +34,8 @@ def test_token_ids(spark, monkeypatch, kept):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
     texts = TEXTS + [r.text for r in rows] + TEXTS
     want = [np.array(i, "<u4").tobytes() for i in whole_ids(texts)]
-    assert packing.token_ids(texts, PATH) == want
-    assert packing.token_ids(texts[::-1], PATH) == want[::-1]
+    for some, ids in ((texts, want), (texts[::-1], want[::-1])):
+        assert packing.token_ids(*arrays.flat(pa.array(some, pa.string())), PATH) == ids
 
 
 def best_fit(lengths, capacity):
