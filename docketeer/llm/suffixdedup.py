@@ -5,7 +5,9 @@ smallest hash of PROBE bytes, which is the same wherever the window stands. An a
 of window starts; its region is the bytes of those windows. Anchors of one hash are compared:
 
 * regions that are equal as a whole are repeated as a whole, and go on as one of them;
-* different regions of one hash go to the shard of that hash, where a suffix array by induced
+* a window that two of them share reaches some way to the left of the anchor and the rest of its
+  length to the right, so regions that have no such reach in common with another one are done;
+* other different regions of one hash go to the shard of that hash, where a suffix array by induced
   sorting and its permuted common prefixes tell which windows start twice or more;
 * a hash with more different regions than a shard should hold has its windows counted by hash.
 
@@ -28,6 +30,8 @@ from docketeer.llm import suffixes
 from docketeer.session import settled
 
 LENGTH, PROBE = 400, 128
+# Steps in which the reach of windows to the left of an anchor is compared.
+REACHES = 4
 # Bytes of a shard, and the different regions of one hash from which windows are counted instead.
 SHARD_BYTES, MOST_REGIONS = 2 << 20, 2000
 
@@ -44,16 +48,29 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:count], before[width - 1 : width - 1 + count])
 
 
+def _reaches(length: int, probe: int) -> list[tuple[int, int]]:
+    """Bytes to the left and right of an anchor, of which every window around it has one pair at least."""
+    width = length - probe
+    step = max(1, width // REACHES)
+    return [(left, max(0, width - left - step + 1)) for left in range(0, width + 1, step)]
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, probe: int) -> dict[str, np.ndarray]:
-    """For each anchor: its text, hash, the hash of its region, and first and last window start."""
+    """For each anchor: its text, hash, the hash of its region, and first and last window start.
+
+    ``reach`` has a short hash of the bytes around the anchor for each of the reaches, 0 where the
+    region has no window that goes so far.
+    """
     width = length - probe + 1
     starts = np.arange(max(0, len(data) - length + 1))
     text = np.searchsorted(offsets, starts, side="right") - 1
     whole = starts + length <= offsets[text + 1]
     none = {k: np.zeros(0, np.int64) for k in ("text", "first", "last")}
     if not whole.any():
-        return none | {k: np.zeros(0, np.uint64) for k in ("hash", "region")}
-    hashes = P.Rolling(data).windows(probe)
+        reach = np.zeros((0, len(_reaches(length, probe))), np.int32)
+        return none | {k: np.zeros(0, np.uint64) for k in ("hash", "region")} | {"reach": reach}
+    rolling = P.Rolling(data)
+    hashes = rolling.windows(probe)
     low = np.uint64(0xFFFFFFFF)
     # The position breaks ties, the last one first.
     ranked = (hashes & ~low) | (low - np.arange(len(hashes), dtype=np.uint64))
@@ -66,17 +83,23 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, probe: int) -> d
     at, text = at[first], text[first]
     shape = ((at - first) * length + (last - first)).astype(np.uint64)
     region = P.Rolling(data, P.FACTORS[1]).ranges(first, last + length)
+    reach = np.zeros((len(at), len(_reaches(length, probe))), np.int32)
+    for i, (left, right) in enumerate(_reaches(length, probe)):
+        far = np.flatnonzero((at - left >= first) & (at + probe + right <= last + length))
+        around = rolling.ranges(at[far] - left, at[far] + probe + right)
+        reach[far, i] = (around >> np.uint64(33)).astype(np.int32) + 1
     return {
         "text": text,
         "hash": hashes[at],
         "region": A.mixed(region ^ A.mixed(shape)),
         "first": first - offsets[text],
         "last": last - offsets[text],
+        "reach": reach,
     }
 
 
 def _anchor_rows(docs: DataFrame, length: int, probe: int) -> DataFrame:
-    """(id, th, hash, region, first, last) of every anchor."""
+    """(id, th, hash, region, first, last, reach) of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,10 +109,12 @@ def _anchor_rows(docs: DataFrame, length: int, probe: int) -> DataFrame:
                 out = [part.column(0).take(rows), part.column(1).take(rows)]
                 out += [pa.array(found[k].view(np.int64)) for k in ("hash", "region")]
                 out += [pa.array(found[k], pa.int32()) for k in ("first", "last")]
-                yield pa.RecordBatch.from_arrays(out, ["id", "th", "hash", "region", "first", "last"])
+                bounds = np.arange(len(rows) + 1, dtype=np.int32) * found["reach"].shape[1]
+                out.append(pa.ListArray.from_arrays(bounds, found["reach"].ravel()))
+                yield pa.RecordBatch.from_arrays(out, ["id", "th", "hash", "region", "first", "last", "reach"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, th long, hash long, region long, first int, last int")
+    return docs.mapInArrow(run, f"id {kind}, th long, hash long, region long, first int, last int, reach array<int>")
 
 
 def _regions(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -140,8 +165,11 @@ def _repeated_windows(regions: list[bytes], owned: np.ndarray, length: int) -> l
     return [flags[b : b + n] for b, n in zip(begins.tolist(), owned.tolist(), strict=True)]
 
 
-def _shard_spans(regions: DataFrame, length: int) -> DataFrame:
-    """(id, th, start, end) of the repeated windows, from each shard's suffix array."""
+def _shard_spans(regions: DataFrame, length: int, shards: int) -> DataFrame:
+    """(id, th, start, end) of the repeated windows, from each shard's suffix array.
+
+    A partition for each shard, or so: small ones are not put together, as sorting them takes long.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.reset_index(drop=True)
@@ -157,7 +185,7 @@ def _shard_spans(regions: DataFrame, length: int) -> DataFrame:
         return out.assign(start=np.array(starts, np.int32), end=np.array(ends, np.int32))
 
     kind = regions.schema["id"].dataType.simpleString()
-    return regions.groupBy("shard").applyInPandas(run, f"id {kind}, th long, start int, end int")
+    return regions.repartition(shards, "shard").groupBy("shard").applyInPandas(run, f"id {kind}, th long, start int, end int")
 
 
 def _window_spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -194,26 +222,37 @@ def _window_spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return found.select("id", "th", "start", (F.col("start") + length).alias("end"))
 
 
+def _sharing(kinds: DataFrame) -> DataFrame:
+    """The regions of which another region of the same anchor hash has one of the reaches."""
+    several = kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("d")).where("d > 1").select("hash")
+    rows = settled(kinds.join(several, "hash", "left_semi"), "several")
+    around = rows.select("hash", "region", F.posexplode("one.reach").alias("i", "around")).where("around != 0")
+    met = around.groupBy("hash", "i", "around").agg(F.count(F.lit(1)).alias("d")).where("d > 1").drop("d")
+    some = around.join(met, ["hash", "i", "around"], "left_semi").select("hash", "region").distinct()
+    return rows.join(some, ["hash", "region"], "left_semi")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, probe: int = PROBE) -> DataFrame:
     """(id, th, start, end): byte ranges of (id, th, text) that windows found elsewhere cover."""
     rows = settled(_anchor_rows(docs, length, probe), "anchors")
-    one = F.struct("id", "th", "first", "last")
+    one = F.struct("id", "th", "first", "last", "reach")
     kinds = rows.groupBy("hash", "region").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one"))
     kinds = settled(kinds, "regions")
     copies = rows.join(kinds.where("n > 1").select("hash", "region"), ["hash", "region"])
     out = copies.select("id", "th", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     size = F.col("one.last") - F.col("one.first") + length + 1
-    contested = kinds.groupBy("hash").agg(F.count(F.lit(1)).alias("d"), F.sum(size).alias("bytes"))
-    contested = settled(contested.where("d > 1"), "contested")
+    contested = _sharing(kinds).select("hash", size.alias("size"), "one.id", "one.th", "one.first", "one.last")
+    contested = settled(contested, "contested")
+    several = contested.groupBy("hash").agg(F.count(F.lit(1)).alias("d"), F.sum("size").alias("bytes"))
+    several = settled(several, "several")
     few = F.col("d") <= MOST_REGIONS
-    total = contested.agg(F.sum(F.when(few, F.col("bytes"))), F.sum(F.when(~few, F.lit(1)))).first()
+    total = several.agg(F.sum(F.when(few, F.col("bytes"))), F.sum(F.when(~few, F.lit(1)))).first()
     shards = max(1, -(-(total[0] or 0) // SHARD_BYTES))
-    met = kinds.join(contested.select("hash", "d"), "hash").select(
-        F.pmod(F.xxhash64("hash"), F.lit(shards)).alias("shard"), "d", "one.*"
-    )
+    shard = F.pmod(F.xxhash64("hash"), F.lit(shards)).alias("shard")
+    met = contested.join(several.select("hash", "d"), "hash").select(shard, "d", "id", "th", "first", "last")
     if total[0]:
-        out = out.unionByName(_shard_spans(_regions(docs, met.where(few), length), length))
+        out = out.unionByName(_shard_spans(_regions(docs, met.where(few), length), length, shards))
     if total[1]:
         out = out.unionByName(_window_spans(docs, met.where(~few), length))
     return out

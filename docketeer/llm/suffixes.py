@@ -12,6 +12,9 @@ from __future__ import annotations
 
 import numpy as np
 
+# Entries that a step of a sweep should move at least.
+FEW = 16
+
 
 def _places(n: int) -> type:
     """The narrow numbers that positions of a text fit in, as memory traffic is what costs."""
@@ -31,21 +34,32 @@ def _smaller(text: np.ndarray) -> np.ndarray:
 
 
 def _sweep(
-    text: np.ndarray, out: np.ndarray, wanted: np.ndarray, free: np.ndarray, up: bool
+    text: np.ndarray,
+    out: np.ndarray,
+    wanted: np.ndarray,
+    free: np.ndarray,
+    begins: np.ndarray,
+    up: bool,
 ) -> None:
     """Induce from ``out`` into ``out``: for each entry, in order, its predecessor if wanted.
 
     ``free`` holds the next free place of every symbol; ``up`` tells the direction of both the
-    sweep and the filling.
+    sweep and the filling. Where entries follow right behind those that induce them, as in a run of
+    one symbol, the whole range of that symbol is filled at once: all its entries, then those one
+    place before each in its run, then those two before, and so on.
     """
     n, sign = len(out), 1 if up else -1
     at, chunk = 0, 1024
     view = out if up else out[::-1]
+    # The range filled last, and its symbol.
+    filled, own = 0, -1
     while at < n:
         held = view[at : at + chunk]
         places = np.flatnonzero(held > 0)
         entries = held[places] - 1
         keep = wanted[entries]
+        if at < filled:
+            keep &= (places >= filled - at) | (text[entries] != own)
         places, entries = places[keep] + at, entries[keep]
         end = min(at + chunk, n)
         if len(entries):
@@ -63,6 +77,19 @@ def _sweep(
             least = np.minimum.accumulate(seen)
             # An entry behind a place that is only now written to must wait.
             ready = int(np.searchsorted(places[1:] >= least[:-1], True)) + 1
+            first = int(entries[0])
+            stalls = ready < min(FEW, len(places)) or first - begins[first] > FEW > ready
+            if stalls and symbols[0] == text[first + 1]:
+                at, own = int(places[0]), int(symbols[0])
+                queue = view[at : int(free[own]) if up else n - 1 - int(free[own])].copy()
+                depth = queue - begins[queue] + 1
+                before = np.cumsum(depth) - depth
+                step = np.arange(int(depth.sum())) - np.repeat(before, depth)
+                order = np.argsort(step, kind="stable")
+                filled = at + len(step)
+                view[at:filled] = (np.repeat(queue, depth) - step)[order]
+                free[own] += sign * (len(step) - len(queue))
+                continue
             if ready < len(places):
                 targets, entries, symbols = targets[:ready], entries[:ready], symbols[:ready]
             end = min(end, int(least[ready - 1]))
@@ -91,13 +118,17 @@ def _induce(
     counts = np.bincount(ranked, minlength=len(ends))
     last = np.cumsum(counts)[ranked]
     out[ends[ranked] - (last - np.arange(len(ranked)))] = lms[order]
-    _sweep(text, out, ~small, starts.copy(), True)
+    # Where the run of equal symbols begins that a place lies in.
+    begins = np.arange(len(text), dtype=out.dtype)
+    begins[1:][text[1:] == text[:-1]] = 0
+    begins = np.maximum.accumulate(begins)
+    _sweep(text, out, ~small, starts.copy(), begins, True)
     # The S suffixes are found anew, so their places are cleared.
     out[(out >= 0) & small[out]] = -1
     out[0] = len(text) - 1
     small = small.copy()
     small[-1] = False
-    _sweep(text, out, small, ends - 1, False)
+    _sweep(text, out, small, ends - 1, begins, False)
     return out
 
 

@@ -1,5 +1,7 @@
 """Suffix arrays and common prefixes against plain sorting."""
 
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -68,3 +70,17 @@ def test_repeated(text, length, part):
     windows = [tuple(marked[i : i + length]) if room[i] >= length else None for i in range(n)]
     want = [at[i] for i in range(n) if windows[i] and windows.count(windows[i]) > 1]
     assert got.tolist() == want
+
+
+@pytest.mark.parametrize("period", [1, 2, 3, 7, 100])
+def test_short_periods_take_no_longer(period):
+    """Runs of one symbol and short periods are sorted about as fast as a random text."""
+    chance = np.random.default_rng(period)
+    text = np.tile(chance.integers(0, 200, period), 400_000 // period)
+    begin = time.perf_counter()
+    array = S.suffix_array(text)
+    assert time.perf_counter() - begin < 5
+    # Suffixes are in order if their first symbols are, or else what follows them.
+    rank = np.append(np.argsort(array), -1)
+    first, rest = text[array], rank[array + 1]
+    assert ((first[:-1] < first[1:]) | ((first[:-1] == first[1:]) & (rest[:-1] < rest[1:]))).all()
