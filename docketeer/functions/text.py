@@ -130,8 +130,3 @@ def _next_starts(at: Column, end: Column) -> Column:
 
 def _run(held: Column) -> Callable[[Column, Column], Column]:
     return lambda a, b: F.struct(F.get(held, a).alias("term"), (b - a).alias("tf"))
-
-
-def term_key(term: Column) -> Column:
-    """128 bits that stand for a term: in shuffles and models 16 bytes in place of some sixty."""
-    return F.unhex(F.md5(F.encode(term, "UTF-8")))

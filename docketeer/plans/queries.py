@@ -475,16 +475,18 @@ def term_rank_window(spark: SparkSession, folder: str) -> DataFrame:
     return terms.ranked_terms(weights, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
-def _trained(spark: SparkSession, folder: str) -> tuple[DataFrame, bayes.Model, DataFrame]:
+def _trained(
+    spark: SparkSession, folder: str, named: bool = False
+) -> tuple[DataFrame, bayes.Model, DataFrame]:
     docs = _documents(spark, folder)
-    model, test = enrich.train(docs, "doc_id", "text", "lang", SIZES, SHARE, SEED)
+    model, test = enrich.train(docs, "doc_id", "text", "lang", SIZES, SHARE, SEED, named)
     path = new_folder(spark, "model")
     save_model(model, path)
     return docs, load_model(spark, path), test
 
 
 def model_terms(spark: SparkSession, folder: str) -> DataFrame:
-    _, model, _ = _trained(spark, folder)
+    _, model, _ = _trained(spark, folder, named=True)
     return model.terms.select(
         "model",
         "n",

@@ -88,7 +88,7 @@ def save_model(model: Model, path: str) -> None:
 def load_model(spark, path: str) -> Model:
     # Partition values are read as text, whatever a category looks like.
     cell = "cell int, model string, n int, "
-    terms = cell + "term binary, gram string, df long, idf double, log_p0 double, log_p1 double"
+    terms = cell + "t1 long, t2 long, gram string, df long, idf double, log_p0 double, log_p1 double"
     classes = cell + "n_docs long, n_terms long, log_prior0 double, log_prior1 double"
     return Model(
         spark.read.schema(terms).parquet(f"{path}/terms"),

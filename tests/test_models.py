@@ -1,13 +1,15 @@
-import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from docketeer import schema
 from docketeer.operators import bayes, cooccur, sampling, terms
+from docketeer.operators import grams as G
 from docketeer.plans import enrich, reports
 from docketeer.session import new_folder
 from docketeer.sources import sinks
@@ -111,7 +113,7 @@ def fitted(spark):
     docs = spark.createDataFrame([t[:2] for t in TEXTS], "id long, text string")
     rows = [(m, n, y, i) for m, n in (("tax", 1), ("all", 2)) for i, _, y in TEXTS]
     members = spark.createDataFrame(rows, "model string, n int, label int, id long")
-    return docs, bayes.fit(members, docs, "id", "text")
+    return docs, bayes.fit(members, docs, "id", "text", named=True)
 
 
 def test_fit_follows_the_formulas(fitted):
@@ -123,7 +125,6 @@ def test_fit_follows_the_formulas(fitted):
         assert {r.gram for r in rows} == set(plain.idf)
         for r in rows:
             t = r.gram
-            assert bytes(r.term) == hashlib.md5(t.encode()).digest()
             assert r.idf == pytest.approx(plain.idf[t])
             assert (r.log_p0, r.log_p1) == pytest.approx((plain.log_p[0][t], plain.log_p[1][t]))
     assert {(r.model, r.n_docs) for r in model.classes.collect()} == {("tax", 4), ("all", 4)}
@@ -135,7 +136,7 @@ def test_a_text_may_be_in_a_data_set_more_than_once(spark):
     members = spark.createDataFrame(
         [("m", 1, y, i) for i, _, y in rows], "model string, n int, label int, id long"
     )
-    plain, model = Plain(rows, 1), bayes.fit(members, docs, "id", "text")
+    plain, model = Plain(rows, 1), bayes.fit(members, docs, "id", "text", named=True)
     assert model.classes.first().n_docs == 8
     for r in model.terms.collect():
         t = r.gram
@@ -232,6 +233,64 @@ def test_search_has_every_cell(spark):
     assert cells["a", 5] == 0.5
 
 
+def test_search_says_what_whole_models_say(spark):
+    """A search fits with the terms of its test texts alone; whole models give the same report."""
+    chance = random.Random(2)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(chance.choices(words[i % 3 * 8 :], k=chance.randint(0, 40))), "abc"[i % 3]) for i in range(60)]
+    # A text in two categories, a repeated row, and a key with two texts.
+    rows += [(0, rows[0][1], "b"), (5, rows[5][1], "c"), (7, "w1 w2 other", "b")]
+    df = spark.createDataFrame(rows, "id long, text string, category string")
+    split = sampling.one_vs_rest_split(df, "id", "category", ["a", "b", "c"], 0.3)
+    sizes = [1, 2, 3, 7]
+    found = bayes.ngram_search(split, df, "id", "text", sizes)
+    members = bayes.with_every_size(split, sizes)
+    train, test = (members.where(F.col("part") == p).drop("part") for p in ("train", "test"))
+    model = bayes.fit(train, df, "id", "text")
+    want = bayes.classification_report(bayes.predict(test, df, model, "id", "text"))
+    plain = lambda d: {tuple(r)[:3]: [x and round(x, 9) for x in tuple(r)[3:]] for r in d.collect()}
+    assert plain(found) == plain(want)
+    assert len({r.n for r in found.collect()}) == 4
+
+
+def test_ngram_counts_of_all_sizes():
+    chance = random.Random(1)
+    for _ in range(200):
+        texts = [[chance.randint(0, 3) for _ in range(chance.choice([0, 1, 2, 5, 30]))] for _ in range(chance.randint(1, 6))]
+        a = np.array([x for t in texts for x in t], np.int64) * 7919
+        if not len(a):
+            continue
+        offsets = np.cumsum([0, *map(len, texts)])
+        sizes = sorted(chance.sample(range(1, 11), chance.randint(1, 6)))
+        got, hashes = {}, {}
+        with np.errstate(over="ignore"):
+            for n, place, count, t1, t2 in G.counted(a, a * 31 + 5, offsets, sizes):
+                text = np.searchsorted(offsets, place, side="right") - 1
+                assert (np.diff(text) >= 0).all()
+                for i, k in enumerate(text.tolist()):
+                    at = int(place[i] - offsets[k])
+                    gram = tuple(texts[k][at : at + n])
+                    assert (k, gram) not in got and len(gram) == n
+                    got[k, gram] = int(count[i])
+                    assert hashes.setdefault(gram, (int(t1[i]), int(t2[i]))) == (int(t1[i]), int(t2[i]))
+        want = Counter((k, tuple(t[i : i + n])) for k, t in enumerate(texts) for n in sizes for i in range(len(t) - n + 1))
+        assert got == want
+        assert len(set(hashes.values())) == len(hashes)
+
+
+def test_a_filter_passes_what_it_holds(spark):
+    """The rows that pass have all wanted terms, and the others come as sums."""
+    texts = spark.createDataFrame([(i, f"aa bb cc w{i} w{i} aa") for i in range(9)], "id long, text string")
+    cells = F.array(G.cell(F.lit(1), F.lit(4)), G.cell(F.lit(2), F.lit(5)))
+    held = texts.select("id", cells.alias("cells"), G.token_hashes(F.col("text")).alias("words"))
+    rows = G.gram_rows(held, "id")
+    wanted = rows.groupBy("cell", "t1", "t2").agg(F.count("*").alias("df")).where("df > 1")
+    some = G.gram_rows(held, "id", G.term_filter(wanted, "cell"), rest=True)
+    assert some.where("not rest").join(wanted, ["cell", "t1", "t2"], "left_semi").count() == 9 * (3 + 2)
+    total = lambda d: {tuple(r) for r in d.groupBy("id", "cell").agg(F.sum(F.coalesce("n_terms", F.lit(1))), F.sum(F.coalesce("sum_tf", "tf")), F.sum(F.coalesce("squares", F.expr("tf * tf")))).collect()}
+    assert total(some) == total(rows)
+
+
 def test_tfidf_with_a_hot_term(spark):
     docs = spark.createDataFrame([(i, f"the w{i} w{i % 3}") for i in range(50)], "id long, text string")
     got = {(r.id, r.term): r.weight for r in terms.tfidf(docs, "id", "text").collect()}

@@ -47,14 +47,6 @@ def test_model_tokens_and_ngrams(spark):
     assert one(spark, "ab cd", lambda c: X.ngrams(X.model_tokens(c), F.lit(1))) == ["ab", "cd"]
 
 
-def test_term_keys_are_digests_of_any_term(spark):
-    import hashlib
-
-    for term in ("a term of sixteen", "short", "é"):
-        got = one(spark, term, X.term_key)
-        assert bytes(got) == hashlib.md5(term.encode()).digest()
-
-
 def test_counted_terms(spark):
     got = one(spark, "b a b c a b", lambda c: X.counted(F.split(c, " ")))
     assert [(r.term, r.tf) for r in got] == [("a", 2), ("b", 3), ("c", 1)]
