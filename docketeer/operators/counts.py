@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docketeer.functions import text as X
-from docketeer.functions.names import bind
-from docketeer.operators.joins import exploded, key_filter, passing
+from docketeer.operators.joins import exploded
+from docketeer.operators.nametext import is_blank, met_in_order
+from docketeer.operators.order import running_sums
 from docketeer.operators.tables import unpivot_names
 from docketeer.session import settled
 
@@ -159,12 +159,6 @@ def watched(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-# Letters of a name by which it is looked up in texts.
-PROBE = 8
-# Up to this many names are tried one by one on every text, which then needs no join.
-LITERAL_NAMES = 2000
-
-
 def _entries(names: DataFrame, columns: Sequence[str], pos: str) -> DataFrame:
     """(kind, pos, name): every name that is not null, once under each position and column."""
     lists = F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("name")) for c in columns))
@@ -172,154 +166,19 @@ def _entries(names: DataFrame, columns: Sequence[str], pos: str) -> DataFrame:
     return rows.select("_e.kind", "pos", "_e.name").where("name IS NOT NULL").distinct()
 
 
-def _met(texts: DataFrame, entries: DataFrame, sizes: Sequence[int], bits: DataFrame) -> DataFrame:
-    """(digest, kind, pos, name) of the entries that share their first letters with a text.
-
-    ``texts`` has digest, text and, where not all kinds are wanted, kind. Of every place of a
-    text the next letters are looked up; all but the likely ones go before anything is shuffled.
-    """
-    by = [c for c in ("digest", "kind") if c in texts.columns]
-    windows = F.array_distinct(
-        F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{PROBE}}}))"), F.lit(1))
-    )
-    probes = exploded(texts, by, windows, "_w")
-    if not sizes:
-        return entries.select(F.lit("").alias("digest"), "kind", "pos", "name").limit(0)
-    keys = F.array(
-        *(F.when(F.length("_w") >= n, F.xxhash64(F.lit(n), F.substring("_w", 1, n))) for n in sizes)
-    )
-    likely = passing(exploded(probes, by, keys, "_key"), "_key", bits).distinct()
-    on = ["_key", "kind"] if "kind" in by else ["_key"]
-    return likely.join(entries, on).select("digest", "kind", "pos", "name").distinct()
-
-
-def _met_lists(
-    texts: DataFrame, met: DataFrame, empties: DataFrame, kinds: Sequence[str]
-) -> DataFrame:
-    """(digest, text, n, kind, names): the names to try on each text, in order.
-
-    ``kinds`` are the columns with empty names, which every text meets.
-    """
-    entry = F.struct("pos", "name")
-    lists = met.groupBy("digest", "kind").agg(F.collect_list(entry).alias("_own"))
-    nothing = F.array().cast(lists.schema["_own"].dataType)
-    if kinds:
-        each = texts.select("digest", F.explode(F.array(*map(F.lit, kinds))).alias("kind"))
-        lists = lists.join(each, ["digest", "kind"], "full_outer")
-    held = texts.select("digest", "text", "n").join(lists, "digest")
-    listed = held.join(F.broadcast(empties), "kind", "left")
-    names = F.concat(F.coalesce("_own", nothing), F.coalesce("_empties", nothing))
-    return listed.select("digest", "text", "n", "kind", F.array_sort(names).alias("names"))
-
-
-def _every_list(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """The same with all of at most LITERAL_NAMES names for every text."""
-    kind = entries.schema["pos"].dataType.simpleString()
-    lists: dict[str, list[dict]] = {}
-    for r in entries.orderBy("pos", "name").collect():
-        lists.setdefault(r["kind"], []).append({"pos": r["pos"], "name": r["name"]})
-    each = [
-        F.struct(
-            F.lit(k).alias("kind"),
-            F.from_json(
-                F.lit(json.dumps(names, ensure_ascii=False)), f"array<struct<pos:{kind},name:string>>"
-            ).alias("names"),
-        )
-        for k, names in lists.items()
-    ]
-    rows = texts.select("digest", "text", "n", F.explode(F.array(*each)).alias("_k"))
-    return rows.select("digest", "text", "n", "_k.kind", "_k.names")
-
-
-def _folded(listed: DataFrame, longest: int) -> DataFrame:
-    """(digest, kind, n, hits, joints): the names met by each text, in order, and new joints.
-
-    In the order of the table a name found in what is left of the text is a hit and is erased
-    everywhere; the text being blank after that ends the search. ``joints`` are the places where
-    an erasure put two parts together, with as many letters around as a name may have; none are
-    noted for a ``longest`` of 0.
-    """
-    nothing = F.array().cast(listed.schema["names"].dataType)
-    start = F.struct(
-        F.col("text").alias("text"),
-        nothing.alias("hits"),
-        F.array().cast("array<string>").alias("joints"),
-        F.lit(False).alias("done"),
+def _met_by_all(texts: DataFrame, found: DataFrame, entries: DataFrame) -> DataFrame:
+    """(kind, pos, name, n) of the empty names: all texts but those that were emptied before."""
+    total = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    emptied = found.where("done IS NOT NULL").groupBy("kind", "done").agg(F.sum("n").alias("n"))
+    events = emptied.select("kind", "done.pos", "done.name", "n").unionByName(
+        entries.where("name = ''").withColumn("n", F.lit(0).cast("long"))
     )
-
-    def step(state: Column, entry: Column) -> Column:
-        name = entry["name"]
-        hit = ~state["done"] & F.contains(state["text"], name)
-
-        def erased(parts: Column) -> Column:
-            left = F.array_join(parts, "")
-            ends = F.aggregate(
-                F.slice(parts, 1, F.size(parts) - 1),
-                F.array(F.lit(0)),
-                lambda at, part: F.concat(at, F.array(F.element_at(at, -1) + F.length(part))),
-            )
-            around = F.transform(
-                F.slice(ends, 2, F.size(ends)),
-                lambda at: F.substr(
-                    left, F.greatest(at - longest + 2, F.lit(1)), F.least(at, F.lit(longest - 1)) + longest - 1
-                ),
-            )
-            return F.struct(
-                left.alias("text"),
-                F.concat(state["hits"], F.array(entry)).alias("hits"),
-                F.array_distinct(F.concat(state["joints"], around)).alias("joints"),
-                _blank(left).alias("done"),
-            )
-
-        def gone(left: Column) -> Column:
-            return F.struct(
-                left.alias("text"),
-                F.concat(state["hits"], F.array(entry)).alias("hits"),
-                state["joints"].alias("joints"),
-                _blank(left).alias("done"),
-            )
-
-        counted = F.struct(
-            state["text"].alias("text"),
-            F.concat(state["hits"], F.array(entry)).alias("hits"),
-            state["joints"].alias("joints"),
-            F.lit(False).alias("done"),
-        )
-        quoted = F.replace(name, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-        parts = F.split(state["text"], F.concat(F.lit("\\Q"), quoted, F.lit("\\E")))
-        cut = bind(parts, erased) if longest else bind(F.replace(state["text"], name, F.lit("")), gone)
-        return F.when(~hit, state).when(name == "", counted).otherwise(cut)
-
-    folded = listed.withColumn("_f", F.aggregate("names", start, step))
-    return folded.select("digest", "kind", "n", F.col("_f.hits").alias("hits"), F.col("_f.joints").alias("joints"))
-
-
-def _settled_fold(texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """The fold over the names that each text may meet, repeated until no erasure adds one."""
-    longest = entries.agg(F.max(F.length("name"))).first()[0] or 1
-    size = F.least(F.length("name"), F.lit(PROBE))
-    sizes = sorted(r[0] for r in entries.where("name <> ''").select(size).distinct().collect())
-    # One row for each column.
-    empties = entries.where("name = ''").groupBy("kind").agg(
-        F.collect_list(F.struct("pos", "name")).alias("_empties")
-    )
-    kinds = [r[0] for r in empties.select("kind").collect()]
-    prefix = F.xxhash64(size, F.substr("name", F.lit(1), size))
-    keyed = settled(entries.where("name <> ''").withColumn("_key", prefix), "keys")
-    bits = settled(key_filter(keyed, "_key"), "bits")
-    met = settled(_met(texts, keyed, sizes, bits), "met")
-    while True:
-        folded = settled(_folded(_met_lists(texts, met, empties, kinds), longest), "folded")
-        joints = folded.where("size(joints) > 0").select("digest", "kind", F.explode("joints").alias("text"))
-        more = _met(joints, keyed, sizes, bits).join(met, ["digest", "kind", "pos", "name"], "left_anti")
-        more = settled(more, "more")
-        if more.isEmpty():
-            return folded
-        met = settled(met.unionByName(more), "met")
-
-
-def _blank(text: Column) -> Column:
-    return text.rlike(r"(?U)\A[\s\x1c-\x1f]*\z")
+    order = [F.col("kind"), F.col("pos"), F.col("name")]
+    before = running_sums(events, order, "n", "_earlier")
+    # The sums run over all kinds, so what stands before a kind's first event is taken off.
+    own = before.groupBy("kind").agg(F.min("_earlier").alias("_start"))
+    empty = before.where("name = ''").join(F.broadcast(own), "kind")
+    return empty.select("kind", "pos", "name", (total - (F.col("_earlier") - F.col("_start"))).alias("n"))
 
 
 def normalized_name_counts(
@@ -338,11 +197,9 @@ def normalized_name_counts(
     and one that is blank from the start meets the very first name at most. Each column is
     counted over the full texts; an empty name meets whatever is left.
 
-    Up to LITERAL_NAMES names are tried one by one on every text. More of them stay a table: a
-    text is joined to the names whose first letters it holds, and these are tried in order
-    within its row, with the same result. An erasure may put letters together that form another
-    name, so the joints it made are looked up as well, and texts with such a name are done
-    again, until no text has a new one.
+    Names are looked up by their hashes (:mod:`docketeer.operators.nametext`), however many there
+    are, so a text tries only names that it has. An empty name is not tried on texts: it is met by
+    those that no earlier name has emptied, which the texts emptied before it tell.
     """
     per_role = F.array(*(F.array_join(r, " ") for r in roles))
     texts = df.select(F.explode(per_role).alias("text")).where("text IS NOT NULL")
@@ -353,16 +210,13 @@ def normalized_name_counts(
     entries = settled(_entries(names, columns, pos), "entries")
     # One row for each column.
     first = entries.groupBy("kind").agg(F.min(F.struct("pos", "name")).alias("f")).select("kind", "f.*")
-    full = texts.where(~_blank(F.col("text")))
-    n_names = entries.count()
-    if not n_names:
-        hits = entries.select("kind", "pos", "name", F.lit(0).cast("long").alias("n"))
-    else:
-        folded = _folded(_every_list(full, entries), 0) if n_names <= LITERAL_NAMES else _settled_fold(full, entries)
-        hits = folded.select("kind", "n", F.explode("hits").alias("_h")).select("kind", "_h.pos", "_h.name", "n")
+    full = texts.where(~is_blank(F.col("text")))
+    found = settled(met_in_order(full, entries.where("name <> ''")), "hits")
+    hits = found.select("kind", "n", F.explode("hits").alias("_h")).select("kind", "_h.pos", "_h.name", "n")
+    hits = hits.unionByName(_met_by_all(full, found, entries))
     firsts = [F.struct(*(F.lit(r[c]).alias(c) for c in ("kind", "pos", "name"))) for r in first.collect()]
     if firsts:
-        blank = texts.where(_blank(F.col("text"))).select("text", "n", F.explode(F.array(*firsts)).alias("_h"))
+        blank = texts.where(is_blank(F.col("text"))).select("text", "n", F.explode(F.array(*firsts)).alias("_h"))
         blank = blank.where(F.contains("text", "_h.name"))
         hits = hits.unionByName(blank.select("_h.kind", "_h.pos", "_h.name", "n"))
     counted = hits.groupBy("kind", "pos", "name").agg(F.sum("n").alias("n"))

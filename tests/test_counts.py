@@ -1,10 +1,12 @@
 import datetime
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docketeer.operators import counts, tables
+from docketeer.operators import counts, nametext, tables
+from docketeer.operators import order as order_by
 
 
 def consumed(texts, names):
@@ -19,11 +21,9 @@ def consumed(texts, names):
     return out
 
 
-@pytest.mark.parametrize(("probe", "literal"), [(8, 2000), (8, 0), (1, 0)])
-def test_consuming_counts_against_the_loop(spark, monkeypatch, probe, literal):
-    monkeypatch.setattr(counts, "PROBE", probe)
-    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
-    rng = random.Random(probe)
+@pytest.mark.parametrize("seed", [1, 8])
+def test_consuming_counts_against_the_loop(spark, seed):
+    rng = random.Random(seed)
     names = ["ab", "b", "", "a a", "aab", "ab", " ", "c", "ba"]
     texts = ["", " ", "aabb c", *("".join(rng.choices("abc ", k=rng.randint(1, 12))) for _ in range(80))]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -32,9 +32,7 @@ def test_consuming_counts_against_the_loop(spark, monkeypatch, probe, literal):
     assert [r.n for r in got] == consumed(texts, names)
 
 
-@pytest.mark.parametrize("literal", [2000, 0])
-def test_names_that_share_a_position_count_apart(spark, monkeypatch, literal):
-    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
+def test_names_that_share_a_position_count_apart(spark):
     df = spark.createDataFrame([("a b",), ("c.*\\E a",)], "t string")
     table = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c"), (2, ".*\\E"), (2, None)], "pos int, name string")
     got = counts.consuming_counts(df, "t", table, "name").collect()
@@ -43,15 +41,69 @@ def test_names_that_share_a_position_count_apart(spark, monkeypatch, literal):
     assert counts.consuming_counts(df, "t", table.limit(0), "name").count() == 0
 
 
-@pytest.mark.parametrize("literal", [2000, 0])
-def test_an_erasure_forms_a_later_name(spark, monkeypatch, literal):
-    monkeypatch.setattr(counts, "LITERAL_NAMES", literal)
+def test_an_erasure_forms_a_later_name(spark):
     df = spark.createDataFrame([("xabyz" + "q" * 30,), ("abab",)], "t string")
     table = spark.createDataFrame([(0, "ab"), (1, "xyz"), (2, "yq"), (3, "zqq")], "pos int, name string")
     got = counts.consuming_counts(df, "t", table, "name").collect()
     assert {r.name: r.n for r in got} == {"ab": 2, "xyz": 1, "yq": 0, "zqq": 0}
 
 
+def test_many_names_and_many_empty_ones(spark):
+    """100,000 empty names among as many others: each is met by the texts not emptied before it."""
+    texts = ["n7", "n7 n9", "n50000x", "zz", "זהn3", "n99999 n5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    names = spark.range(200_000).select(
+        F.col("id").alias("pos"), F.when(F.col("id") % 2 == 0, "").otherwise(F.concat(F.lit("n"), (F.col("id") / 2).cast("int"))).alias("name")
+    )
+    got = counts.consuming_counts(df, "t", names, "name")
+    held = [("" if i % 2 == 0 else f"n{i // 2}") for i in range(200_000)]
+    want = {}
+    for text in texts:
+        for pos, name in enumerate(held):
+            if name in text:
+                want[pos] = want.get(pos, 0) + 1
+                text = text.replace(name, "")
+            if not text.strip():
+                break
+    assert {r.pos: r.n for r in got.where("n > 0").collect()} == want
+
+
+def test_hashes_find_whole_names():
+    """Every name that a text has is likely, and hashes tell names of one head apart."""
+    names = ["a", "ab", "abc", "abcd", "abce", "abcdefghi", "x" * 33, "é", "xé", "שלום לך"]
+    texts = ["xabcdéx", "", "abcdefghij", "x" * 32, "x" * 40, "שלום לך xé", "ab", "שלום"]
+    with np.errstate(over="ignore"):
+        hashes, lengths = {}, {}
+        for name in names:
+            data = np.frombuffer(name.encode(), np.uint8)
+            w, h = list(nametext.windows(data, len(data)))[-1]
+            hashes[name] = int(nametext.whole(h[:1], h[len(data) - w :][:1], np.array([len(data)])).view(np.int64)[0])
+            lengths.setdefault(w, set()).add(len(data))
+        assert len(set(hashes.values())) == len(names)
+        every = np.full(1 << 19, (1 << 64) - 1, np.uint64)
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+        lists = {w: sorted(v) for w, v in lengths.items()}
+        text, t1 = nametext.likely(data, offsets, lists, every, every)
+    found = set(zip(text.tolist(), t1.tolist(), strict=True))
+    for i, t in enumerate(texts):
+        for name, h in hashes.items():
+            assert ((i, h) in found) == (name in t)
+
+
+def test_ranks_and_running_sums(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, "a", "b", "ab"]), rng.randint(0, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, name string, n long").repartition(7)
+    order = [F.col("name").asc_nulls_first(), F.col("n").desc(), F.col("id")]
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", -r[2], r[0]))
+    got = {r.id: r["rank"] for r in order_by.ranked(df, order).collect()}
+    assert got == {r[0]: i + 1 for i, r in enumerate(want)}
+    sums = {r.id: r.before for r in order_by.running_sums(df, order, "n", "before").collect()}
+    assert sums == {r[0]: sum(x[2] for x in want[:i]) for i, r in enumerate(want)}
+    assert order_by.ranked(df.limit(0), order).count() == 0
+
+
 def test_normalized_name_counts(spark):
     docs = spark.createDataFrame(
         [(1, ["dana levi", "omer levi"], ["dana levi"]), (2, ["omer"], None)],
