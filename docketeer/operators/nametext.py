@@ -86,9 +86,10 @@ class Index:
         heads = names.select("w", F.col("head").alias("t1"))
         self.heads: Broadcast = grams.term_filter(heads, "w")
         self.wholes: Broadcast = grams.term_filter(names, "w")
-        # As many rows as names have lengths.
-        rows = names.select("w", "length").distinct().collect()
-        self.lengths = {w: sorted(r["length"] for r in rows if r["w"] == w) for w in {r["w"] for r in rows}}
+        # As many rows as names of a column have lengths.
+        rows = names.select("kind", "w", "length").distinct().collect()
+        self.lengths = {w: sorted({r["length"] for r in rows if r["w"] == w}) for w in {r["w"] for r in rows}}
+        self.longest = {k: max(r["length"] for r in rows if r["kind"] == k) for k in {r["kind"] for r in rows}}
 
 
 def _passes(bits: np.ndarray, t1: np.ndarray, slot: int) -> np.ndarray:
@@ -165,9 +166,9 @@ def erased(text: str, names: list[str], longest: int, blank: str) -> tuple[list[
     return hits, -1, sorted(joints)
 
 
-def _folded(listed: DataFrame, longest: int, index: Index) -> DataFrame:
+def _folded(listed: DataFrame, index: Index) -> DataFrame:
     """(digest, kind, n, hits, done, joints): the entries met, the one that emptied the text, likely new ones."""
-    heads, wholes, lengths = index.heads, index.wholes, index.lengths
+    heads, wholes, lengths, longest = index.heads, index.wholes, index.lengths, index.longest
     # What the pattern of a blank text has: all white space, and the four separators.
     blank = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
     ddl = listed.schema
@@ -176,14 +177,14 @@ def _folded(listed: DataFrame, longest: int, index: Index) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                texts, lists = batch.column(1).to_pylist(), batch.column(4)
+                texts, kinds, lists = batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(4)
                 parent = lists.value_parent_indices()
                 names = lists.flatten()
                 said = names.field("name").to_pylist()
                 begins = np.searchsorted(parent.to_numpy(), np.arange(batch.num_rows + 1)).tolist()
                 hits, done, joints, owner = [], [], [], []
                 for i, text in enumerate(texts):
-                    met, last, new = erased(text, said[begins[i] : begins[i + 1]], longest, blank)
+                    met, last, new = erased(text, said[begins[i] : begins[i + 1]], longest[kinds[i]], blank)
                     hits.append([begins[i] + k for k in met])
                     done.append(begins[i] + last if last >= 0 else None)
                     joints += new
@@ -226,10 +227,9 @@ def met_in_order(texts: DataFrame, entries: DataFrame) -> DataFrame:
     """
     names = settled(_hashed(entries), "index")
     index = Index(names)
-    longest = max((n for v in index.lengths.values() for n in v), default=1)
     # One row for each text and name with the same hash.
     met = settled(_probes(texts, index).join(names.select("t1", "kind", "pos", "name"), "t1").drop("t1"), "met")
-    folded = settled(_folded(_listed(texts, met), longest, index), "folded")
+    folded = settled(_folded(_listed(texts, met), index), "folded")
     out = None
     while True:
         joints = folded.select("digest", "kind", F.explode("joints").alias("t1"))
@@ -242,7 +242,7 @@ def met_in_order(texts: DataFrame, entries: DataFrame) -> DataFrame:
             return out
         # Only texts with a new name are done again.
         met = settled(met.join(again, ["digest", "kind"], "left_semi").unionByName(more), "met")
-        folded = settled(_folded(_listed(texts, met), longest, index), "folded")
+        folded = settled(_folded(_listed(texts, met), index), "folded")
 
 
 def is_blank(text: Column) -> Column:
