@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,17 +82,46 @@ def write_report(report: DataFrame, path: str) -> None:
     report.withColumnRenamed("model", "category").write.partitionBy("category").parquet(path)
 
 
-def save_model(model: Model, path: str) -> None:
-    model.terms.write.partitionBy("model").parquet(f"{path}/terms")
-    model.classes.write.partitionBy("model").parquet(f"{path}/classes")
+# What scoring joins the terms on, and a model is stored by.
+TERM_KEY = ("n", "t1", "t2")
+CELL = "cell int, model string, n int, "
+TERMS = CELL + "t1 long, t2 long, gram string, df long, idf double, log_p0 double, log_p1 double"
+CLASSES = CELL + "n_docs long, n_terms long, log_prior0 double, log_prior1 double"
 
 
-def load_model(spark, path: str) -> Model:
-    # Partition values are read as text, whatever a category looks like.
-    cell = "cell int, model string, n int, "
-    terms = cell + "t1 long, t2 long, gram string, df long, idf double, log_p0 double, log_p1 double"
-    classes = cell + "n_docs long, n_terms long, log_prior0 double, log_prior1 double"
-    return Model(
-        spark.read.schema(terms).parquet(f"{path}/terms"),
-        spark.read.schema(classes).parquet(f"{path}/classes"),
+def _stored(spark: SparkSession, path: str, buckets: int) -> str:
+    """The name under which the terms at ``path`` are a table in so many buckets; the files stay."""
+    name = f"model_terms_{hashlib.md5(path.encode()).hexdigest()}"
+    by = ", ".join(TERM_KEY)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({TERMS}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by})"
+        f" INTO {buckets} BUCKETS LOCATION '{place}/terms'"
     )
+    return name
+
+
+def save_model(model: Model, path: str, buckets: int | None = None) -> None:
+    """Store a model, its terms in buckets of n-gram size and term.
+
+    Texts that are scored are then moved to the buckets of their terms, and the model stays where
+    it is. There are as many buckets as a shuffle has partitions, unless told otherwise; a session
+    with more partitions than that moves the model again.
+    """
+    spark = model.terms.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = [c.split()[0] for c in TERMS.split(", ")]
+    # One file for each bucket.
+    spread = model.terms.select(*columns).repartition(buckets, *TERM_KEY)
+    name = _stored(spark, path, buckets)
+    spread.write.bucketBy(buckets, *TERM_KEY).sortBy(*TERM_KEY).format("parquet").mode("append").saveAsTable(name)
+    model.classes.withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/classes")
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    classes = spark.read.schema(f"{CLASSES}, buckets int").parquet(f"{path}/classes")
+    # The same in all rows, one for each category and size; a model without any has no terms.
+    found = classes.select("buckets").first()
+    terms = spark.table(_stored(spark, path, found["buckets"] if found else 1))
+    return Model(terms, classes.drop("buckets"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketeer import schema
-from docketeer.operators import bayes, cooccur, sampling, terms
+from docketeer.operators import bayes, cooccur, joins, sampling, terms
 from docketeer.operators import grams as G
 from docketeer.plans import enrich, reports
 from docketeer.session import new_folder
@@ -187,6 +187,38 @@ def test_model_tables_round_trip(spark, fitted):
     assert before == pytest.approx(after)
 
 
+def test_scoring_leaves_a_stored_model_where_it_is(spark, fitted):
+    docs, model = fitted
+    path = new_folder(spark, "model")
+    sinks.save_model(model, path, buckets=8)
+    loaded = sinks.load_model(spark, path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plans = []
+        for m in (loaded, model):
+            known = bayes._known(docs.select("id", F.array(G.cell(F.lit(1), F.lit(1))).alias("cells"), G.token_hashes(F.col("text")).alias("words")), m, "id")
+            joined = bayes._leads(known, m, "id")
+            plans.append(joined._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # The texts' terms alone are moved to the join, by its three keys; the plain table is moved too.
+    moves = [len(re.findall(r"Exchange hashpartitioning\(n#\d+, _t1#\d+L, _t2#\d+L", p)) for p in plans]
+    assert moves == [1, 2]
+    assert "Bucketed: true" in plans[0]
+
+
+@pytest.mark.parametrize("rows", [0.5, 2, 100_000])
+def test_hot_terms_count_like_others(spark, fitted, monkeypatch, rows):
+    docs, model = fitted
+    want = {(r.id, r.model): r.p for r in bayes.score(docs, model, "id", "text", [1, 2]).collect()}
+    monkeypatch.setattr(joins, "TASK_ROWS", rows)
+    monkeypatch.setattr(joins, "TASK_SHARE", 0)
+    got = {(r.id, r.model): r.p for r in bayes.score(docs, model, "id", "text", [1, 2]).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_report(spark):
     rows = [(1, 1)] * 6 + [(1, 0)] * 2 + [(0, 1)] + [(0, 0)] * 3
     df = spark.createDataFrame([("m", 1, *r) for r in rows], "model string, n int, label int, predicted int")
