@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketeer.functions.names import bind
+
 # A key is split so that no task gets more than this share of all rows from it, or more than
 # TASK_ROWS where that is more. So at most 1 / TASK_SHARE keys are split.
 TASK_SHARE = 1 / 20_000
@@ -127,8 +129,46 @@ def probe_keys(word: Column, edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
+# Letters up to which the edit distance itself is quicker than looking for the edits.
+SHORT_WORD = 64
+
+
 def within_edits(a: Column | str, b: Column | str, edits: int) -> Column:
-    return F.levenshtein(a, b, edits) >= 0
+    """Whether ``edits`` edits make one word of the other, in time linear in long words."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+    short = F.greatest(F.length(a), F.length(b)) <= SHORT_WORD
+    return F.when(short, F.levenshtein(a, b, edits) >= 0).otherwise(_edited(a, b, edits))
+
+
+def _edited(a: Column, b: Column, edits: int) -> Column:
+    """The first edit may be taken to stand where the words first differ; what follows has one less."""
+    if edits == 0:
+        return a == b
+
+    def behind(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        rest = lambda c: F.substr(c, F.lit(2))
+        others = ((rest(x), rest(y)), (rest(x), y), (x, rest(y)))
+        found = x == y
+        for left, right in others:
+            found = found | _edited(left, right, edits - 1)
+        return found
+
+    return bind(_without_prefix(a, b), behind)
+
+
+def _without_prefix(a: Column, b: Column) -> Column:
+    """Both words without their common prefix, which is found by halved steps, a comparison each."""
+    least = F.least(F.length(a), F.length(b))
+    steps = F.reverse(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(least, F.lit(1)))).cast("int")))
+
+    def longer(at: Column, k: Column) -> Column:
+        step = F.pow(F.lit(2), k).cast("int")
+        same = F.substr(a, at + 1, step) == F.substr(b, at + 1, step)
+        return F.when((at + step <= least) & same, at + step).otherwise(at)
+
+    prefix = F.aggregate(steps, F.lit(0), longer)
+    return bind(prefix, lambda p: F.struct(F.substr(a, p + 1).alias("x"), F.substr(b, p + 1).alias("y")))
 
 
 def fuzzy_members(

@@ -272,12 +272,19 @@ def halves(words: str) -> str:
       AS half FROM (SELECT word, unnest({sizes}) AS h FROM {words}), (SELECT unnest(['first', 'last']) AS side)"""
 
 
+# Two words are one edit apart if the rest behind their common prefix is the same once a letter is
+# left out of the longer one, or of both. The prefix is found by doubled steps, each one comparison.
 FUZZY = f"""
   WITH words AS MATERIALIZED ({corpus_words('documents')}),
   items AS MATERIALIZED ({corpus_words('benchmark')}),
-  pairs AS (SELECT DISTINCT w.word, i.word AS item FROM ({halves('words')}) w JOIN ({halves('items')}) i
-            USING (side, h, half) WHERE abs(length(w.word) - length(i.word)) <= 1),
-  near AS (SELECT DISTINCT word FROM pairs WHERE levenshtein(word, item) <= 1)
+  pairs AS MATERIALIZED (
+    SELECT DISTINCT w.word AS a, i.word AS b FROM ({halves('words')}) w JOIN ({halves('items')}) i
+    USING (side, h, half) WHERE abs(length(w.word) - length(i.word)) <= 1),
+  met AS (SELECT a, b, list_reduce(range(20, -1, -1), lambda p, k:
+            CASE WHEN p + (1 << k) <= least(length(a), length(b)) AND left(a, p + (1 << k)) = left(b, p + (1 << k))
+                 THEN p + (1 << k) ELSE p END, 0) AS p FROM pairs),
+  near AS (SELECT DISTINCT a AS word FROM met WHERE
+    substr(a, p + 1 + CAST(length(a) >= length(b) AS INTEGER)) = substr(b, p + 1 + CAST(length(b) >= length(a) AS INTEGER)))
   SELECT w.word, w.n, n.word IS NOT NULL AS is_member FROM words w LEFT JOIN near n USING (word)"""
 
 # Dictionary

@@ -31,8 +31,19 @@ def test_fuzzy_members_against_every_pair(spark, edits):
     }
 
 
+@pytest.mark.parametrize("edits", [1, 2])
+def test_long_words_go_by_their_edits(spark, monkeypatch, edits):
+    """Looking for the edits gives what the distance does."""
+    monkeypatch.setattr(joins, "SHORT_WORD", -1)
+    rng = random.Random(edits)
+    pairs = [(a, b) for a in words(rng, 25) for b in words(rng, 12)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    rows = df.select("a", "b", joins.within_edits("a", "b", edits).alias("x")).collect()
+    assert [r.x for r in rows] == [distance(a, b) <= edits for a, b in pairs]
+
+
 def test_long_words_have_few_keys(spark):
-    long = "x" * 2_000
+    long = "x" * 100_000
     df = spark.createDataFrame([(long,), (long[:-2] + "yx",), (long + "zz",)], "w string")
     items = spark.createDataFrame([(long[1:],)], "w string")
     got = joins.fuzzy_members(df, "w", items, "w", 1).collect()

@@ -2,7 +2,10 @@
 
 import math
 import os
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -48,5 +51,17 @@ def test_query(spark, duck, name):
     assert got
 
 
+@pytest.mark.parametrize("missing", ["ahocorasick", "docketeer.llm", "corpus_pipeline"])
+def test_entry_without_a_part(missing):
+    """A library or a part that is not there takes its own queries with it, and no others."""
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e;"
+        "from docketeer.plans.queries import QUERIES; assert set(QUERIES) <= set(e.queries());"
+        "assert 'pipeline' not in e.queries(); assert set(e.oracle_sql()) <= set(e.queries())"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_entry(spark):
     assert entry(spark).count() == 10
