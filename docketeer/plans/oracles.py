@@ -522,34 +522,51 @@ TOP_WORDS = f"""
 INDICATORS = (
     f"WITH {TOP_WORDS} SELECT doc_id, "
     + ", ".join(
-        f"list_contains(words, (SELECT word FROM top WHERE rank = {i})) OR"
-        f" lang = (SELECT word FROM top WHERE rank = {i}) AS top_{i:02}"
+        f"list_contains(words, (SELECT word FROM top WHERE rank = {i})) AS top_{i:02}"
         for i in range(1, Q.TOP + 1)
     )
     + ", "
-    + ", ".join(
-        f"lang = '{c}' OR (list_contains(words, '{c}') AND '{c}' IN (SELECT word FROM top)) AS is_{c}"
-        for c in Q.LANGS
-    )
+    + ", ".join(f"lang = '{c}' AS is_{c}" for c in Q.LANGS)
     + " FROM held"
 )
-CORR = f"""
-      {TOP_WORDS},
-      columns AS (SELECT f, min(place) AS place FROM (SELECT word AS f, rank AS place FROM top
-        UNION ALL SELECT unnest({_list(Q.LANGS)}), 100 + unnest(range({len(Q.LANGS)}))) GROUP BY f),
-      cells AS (SELECT doc_id, f, place, CAST((list_contains(words, f) AND f IN (SELECT word FROM top))
-                OR lang = f AS INTEGER) AS v FROM held, columns),
-      sums AS (SELECT a.f AS feature_a, b.f AS feature_b, count(*)::DOUBLE AS n, sum(a.v)::DOUBLE AS n1,
-               sum(b.v)::DOUBLE AS n2, sum(a.v * b.v)::DOUBLE AS n11
-               FROM cells a JOIN cells b ON a.doc_id = b.doc_id AND a.place < b.place GROUP BY 1, 2),
-      corr AS (SELECT feature_a, feature_b, CASE WHEN n1 * (n - n1) > 0 AND n2 * (n - n2) > 0 THEN
+# A row of a column that holds one of its top names has every feature of the column, there or not.
+PAIR_SUMS = f"""
+      kinds AS (SELECT col, 'name' AS kind, word AS f, rank AS place FROM top
+        UNION ALL SELECT DISTINCT col, 'category', unnest({_list(Q.LANGS)}), 100 + unnest(range({len(Q.LANGS)})) FROM top),
+      cells AS (SELECT h.doc_id, k.*, CAST(CASE kind WHEN 'name' THEN list_contains(words, f) ELSE lang = f END AS INTEGER) AS v
+                FROM held h JOIN kinds k USING (col)),
+      sums AS (SELECT a.col, a.kind AS kind_a, a.f AS feature_a, b.kind AS kind_b, b.f AS feature_b,
+               count(*)::DOUBLE AS n, sum(a.v)::DOUBLE AS n1, sum(b.v)::DOUBLE AS n2, sum(a.v * b.v)::DOUBLE AS n11
+               FROM cells a JOIN cells b ON a.doc_id = b.doc_id AND a.col = b.col AND a.place < b.place GROUP BY ALL),
+      corr AS (SELECT col, kind_a, feature_a, kind_b, feature_b,
+               CASE WHEN n1 * (n - n1) > 0 AND n2 * (n - n2) > 0 THEN
                (n * n11 - n1 * n2) / (sqrt(n1 * (n - n1)) * sqrt(n2 * (n - n2))) END AS corr FROM sums)"""
+CORR = f"""
+      all_words AS (SELECT doc_id, lang, list_distinct({TOKENS}) AS words FROM documents),
+      top AS (SELECT 'words' AS col, word, row_number() OVER (ORDER BY n DESC, word) AS rank FROM
+        (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM all_words) GROUP BY word)
+        QUALIFY rank <= {Q.TOP}),
+      held AS (SELECT doc_id, lang, words, 'words' AS col FROM all_words
+               WHERE list_has_any(words, (SELECT list(word) FROM top))),
+      {PAIR_SUMS}"""
+ROLE_CORR = f"""
+      words AS (SELECT doc_id, lang, col, list_filter(words, lambda w: length(w) % {len(Q.NAME_COLUMNS)} = i) AS words
+        FROM (SELECT doc_id, lang, list_distinct({TOKENS}) AS words FROM documents),
+             (SELECT unnest({_list(Q.NAME_COLUMNS)}) AS col, unnest(range({len(Q.NAME_COLUMNS)})) AS i)),
+      top AS (SELECT col, word, row_number() OVER (PARTITION BY col ORDER BY n DESC, word) AS rank FROM
+        (SELECT col, word, count(*) AS n FROM (SELECT col, unnest(words) AS word FROM words) GROUP BY ALL)
+        QUALIFY rank <= {Q.TOP}),
+      lists AS (SELECT col, list(word) AS listed FROM top GROUP BY col),
+      held AS (SELECT doc_id, lang, words, col FROM words JOIN lists USING (col) WHERE list_has_any(words, listed)),
+      {PAIR_SUMS}"""
 
 
 def top_pairs() -> str:
+    ties = "kind_a, feature_a, kind_b, feature_b"
+
     def side(sign: str, direction: str) -> str:
-        return f"""SELECT '{sign}' AS sign, CAST(row_number() OVER (ORDER BY corr {direction}, feature_a,
-          feature_b) AS INTEGER) AS rank, feature_a, feature_b, round(corr, 6) AS corr FROM corr
+        return f"""SELECT '{sign}' AS sign, CAST(row_number() OVER (ORDER BY corr {direction}, {ties}) AS INTEGER)
+          AS rank, {ties}, round(corr, 6) AS corr FROM corr
           WHERE corr IS NOT NULL QUALIFY rank <= {Q.PAIRS}"""
 
     return f"WITH {CORR} {side('positive', 'DESC')} UNION ALL {side('negative', 'ASC')}"
@@ -753,7 +770,9 @@ ORACLES: dict[str, str] = {
     "ngram_search": report_sql(SEARCHED),
     "indicator_table": INDICATORS,
     "correlations": f"""WITH {CORR}
-      SELECT feature_a, feature_b, round(corr, 6) AS corr FROM corr""",
+      SELECT kind_a, feature_a, kind_b, feature_b, round(corr, 6) AS corr FROM corr""",
+    "role_correlations": f"""WITH {ROLE_CORR}
+      SELECT col AS "column", kind_a, feature_a, kind_b, feature_b, round(corr, 6) AS corr FROM corr""",
     "top_correlated_pairs": top_pairs(),
     "normalize_documents": normalized_sql(),
     "normalize_with_word_table": word_table_sql(),

@@ -548,26 +548,39 @@ def indicator_table(spark: SparkSession, folder: str) -> DataFrame:
     words = _words(spark, folder)
     top = _top_words(words)
     table = cooccur.indicator_table(words, "doc_id", "words", "category", top, LANGS)
-    names = [F.col(f"`{w}`").alias(f"top_{i:02}") for i, w in enumerate(top, 1)]
-    return table.select("doc_id", *names, *(F.col(c).alias(f"is_{c}") for c in LANGS))
+    names = [f"top_{i:02}" for i in range(1, len(top) + 1)]
+    return table.toDF("doc_id", *names, *(f"is_{c}" for c in LANGS))
 
 
 def _word_correlations(spark: SparkSession, folder: str) -> DataFrame:
     words = _words(spark, folder)
-    top = _top_words(words)
-    features = cooccur.present_features(words, "words", "category", top)
-    return cooccur.correlations(features, list(dict.fromkeys([*top, *LANGS])))
+    return cooccur.correlations(words, {"words": _top_words(words)}, "category", LANGS)
 
 
 def correlations(spark: SparkSession, folder: str) -> DataFrame:
-    return _word_correlations(spark, folder).withColumn("corr", F.round("corr", 6))
+    corr = _word_correlations(spark, folder).drop("column")
+    return corr.withColumn("corr", F.round("corr", 6))
 
 
 def top_correlated_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    top = cooccur.top_correlated(_word_correlations(spark, folder), PAIRS)
+    top = cooccur.top_correlated(_word_correlations(spark, folder), PAIRS).drop("column")
     return top.withColumn("corr", F.round("corr", 6))
 
 
+# The ten name columns of the analysis, by the length of words.
+NAME_COLUMNS = [c for r in schema.ROLES for c in (r, f"{r}_normalized")]
+
+
+def role_correlations(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of ten name columns; words and languages may share a name."""
+    words = _words(spark, folder)
+    of_length = lambda i: F.filter("words", lambda w: F.length(w) % len(NAME_COLUMNS) == i)
+    table = words.select("category", *(of_length(i).alias(c) for i, c in enumerate(NAME_COLUMNS)))
+    top = cooccur.top_names_by_column(table, NAME_COLUMNS, TOP)
+    corr = cooccur.correlations(table, top, "category", LANGS)
+    return corr.withColumn("corr", F.round("corr", 6))
+
+
 # Whole jobs
 
 
@@ -767,6 +780,7 @@ QUERIES = {
         indicator_table,
         correlations,
         top_correlated_pairs,
+        role_correlations,
         normalize_documents,
         normalize_with_word_table,
         legal_names_clean,

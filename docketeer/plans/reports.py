@@ -14,12 +14,21 @@ def top_attendees(table: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     return {c: counts.top_names(table, c, k) for c in columns}
 
 
+def role_correlations(
+    table: DataFrame, columns: list[str] | None = None, k_names: int = 10, k_pairs: int = 40
+) -> DataFrame:
+    """The most and least correlated pairs among each role's top names and the categories.
+
+    All name columns, raw and normalized, go through one pass for the names and one for the pairs.
+    """
+    columns = columns or [c for r in schema.ROLES for c in (r, f"{r}_normalized")]
+    top = cooccur.top_names_by_column(table, columns, k_names)
+    corr = cooccur.correlations(table, top, "category", schema.INDICATOR_CATEGORIES)
+    return cooccur.top_correlated(corr, k_pairs)
+
+
 def name_category_correlations(
     table: DataFrame, names: str, k_names: int = 10, k_pairs: int = 40
 ) -> DataFrame:
-    """The most and least correlated pairs among a role's top names and the categories."""
-    # The only rows read back are the k names of a top-k report.
-    top = [r.name for r in counts.top_names(table, names, k_names).collect()]
-    features = cooccur.present_features(table, names, "category", top)
-    columns = list(dict.fromkeys([*top, *schema.INDICATOR_CATEGORIES]))
-    return cooccur.top_correlated(cooccur.correlations(features, columns), k_pairs)
+    """The same for one name column."""
+    return role_correlations(table, [names], k_names, k_pairs).drop("column")

@@ -360,16 +360,33 @@ def test_indicators_and_correlations(spark):
         3: (True, False, False, True, False),
         6: (True, False, False, False, True),
     }
-    features = cooccur.present_features(df, "judges", "category", ["b", "a"])
-    columns = ["b", "a", "Civil", "Family", "Tax", "Never"]
-    corr = {(r.feature_a, r.feature_b): r["corr"] for r in cooccur.correlations(features, columns).collect()}
-    import numpy as np
-
+    columns = [("name", "b"), ("name", "a"), *(("category", c) for c in ("Civil", "Family", "Tax", "Never"))]
+    rows = cooccur.correlations(df, {"judges": ["b", "a"]}, "category", ["Civil", "Family", "Tax", "Never"]).collect()
+    corr = {((r.kind_a, r.feature_a), (r.kind_b, r.feature_b)): r["corr"] for r in rows}
     matrix = np.corrcoef(np.array(list(cells.values()), dtype=float).T)
     for i, a in enumerate(columns[:5]):
         for j in range(i + 1, 5):
             assert corr[a, columns[j]] == pytest.approx(matrix[i, j])
-    assert all(corr[a, "Never"] is None for a in columns[:5])
+    assert len(corr) == 15 and all(corr[a, columns[5]] is None for a in columns[:5])
     top = reports.name_category_correlations(df, "judges", 2, 3)
     assert top.count() == 6
     assert top.where("sign = 'positive' AND rank = 1").first()["corr"] == pytest.approx(1.0)
+
+
+def test_columns_are_correlated_apart(spark):
+    """Several columns in one pass; a name that reads like a category is a feature of its own."""
+    rows = [(["x", "Tax"], ["y"], "Tax"), (["x"], ["y", "y"], "Civil"), (["Tax"], [], "Civil"), (None, ["z", ""], None)]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>, category string")
+    top = cooccur.top_names_by_column(df, ["a", "b"], 2)
+    assert top == {"a": ["Tax", "x"], "b": ["y", "z"]}
+    got = cooccur.correlations(df, top, "category", ["Tax", "Civil"]).collect()
+    assert len(got) == 2 * 6
+    corr = {(r.column, r.kind_a, r.feature_a, r.kind_b, r.feature_b): r["corr"] for r in got}
+    cells = {"a": [[1, 1, 1, 0], [0, 1, 0, 1], [1, 0, 0, 1]], "b": [[1, 0, 1, 0], [1, 0, 0, 1], [0, 1, 0, 0]]}
+    for column, table in cells.items():
+        features = [("name", n) for n in top[column]] + [("category", "Tax"), ("category", "Civil")]
+        matrix = np.corrcoef(np.array(table, float).T)
+        for i, one in enumerate(features):
+            for j in range(i + 1, 4):
+                assert corr[column, *one, *features[j]] == pytest.approx(matrix[i, j])
+    assert cooccur.correlations(df.limit(0), {"a": [], "b": []}, "category", ["Tax"]).count() == 0
