@@ -27,7 +27,8 @@ from docketeer.operators import (
 )
 from docketeer.plans import enrich, files
 from docketeer.session import new_folder, spread
-from docketeer.sources.sinks import load_model, save_model
+from docketeer.sources.sinks import load_model, save_model, write_verdicts
+from docketeer.sources.verdicts import flatten_verdicts
 from docketeer.streaming import enrich as stream
 
 # Parameters shared with the SQL side.
@@ -41,6 +42,8 @@ SIZES = {"en": 9, "de": 6, "fr": 2, "es": 7}
 SEARCH = list(range(1, 11))
 TURN_ROLES = ["user", "assistant", "system"]
 SHARE, SEED, TOP, PAIRS = 0.3, 7, 10, 40
+# Files that a batch of the verdict stream takes.
+FILES_PER_BATCH = 400
 LONG_WORD = 12
 
 
@@ -600,10 +603,11 @@ def _flat(docs: DataFrame) -> DataFrame:
     )
 
 
-def _flat_columns(normalized: DataFrame) -> DataFrame:
+def _flat_columns(normalized: DataFrame, *more: str) -> DataFrame:
     return normalized.select(
         "id",
         "error_reason",
+        *more,
         *(
             F.array_join(f"{r}_normalized", "|").alias(r)
             for r in ("judges", "petitioner", "defense", "petitioner_attorneys", "defense_attorneys")
@@ -701,17 +705,67 @@ def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
     return _flat_columns(spark.read.parquet(out))
 
 
-def stream_dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the turns by their cleaned form, kept first-wins over the stream."""
-    kinds = _table(spark, folder, "conversations").schema
-    source = spark.readStream.schema(kinds).option("pathGlobFilter", "conversations.parquet")
-    lines = F.posexplode(F.split("text", "\n")).alias("pos", "before")
-    pairs = source.parquet(folder).select("conv_id", "turn", "role", lines).select(
-        "before", F.col("role").alias("after"), F.struct("conv_id", "turn", "pos").alias("seen_at")
-    )
+def _verdict_files(spark: SparkSession, folder: str) -> str:
+    """A folder with a JSON file for each document as a verdict."""
+    flat = _flat(_documents(spark, folder))
+    none = F.lit(None).cast("string")
+    others = {c: none for c in ("date_text", "doc_type", "case_no")}
+    empty = F.lit(None).cast("array<string>")
+    lists_ = {"extra": empty, **{f"{r}_normalized": empty for r in schema.ROLES}}
+    whole = flat.withColumns({**others, **lists_, "pages": F.lit(None).cast("int"), "file_name": F.concat("id", F.lit(".json"))})
+    path = new_folder(spark, "verdicts")
+    write_verdicts(whole, path, one_per_file=True)
+    return path
+
+
+def _streamed_verdicts(spark: SparkSession, folder: str) -> str:
+    """Verdict files through the stream in several batches, then the dead letters once more.
+
+    Those without judges fail at first; the next run takes their petitioners for them.
+    """
+    lines = _roster(spark, folder)
+    normalized = lambda flat: enrich.normalize(flat, STOP_WORDS, lines, ["The", "La"])
+    out = new_folder(spark, "enriched")
+    files_ = stream.verdict_stream(spark, _verdict_files(spark, folder), FILES_PER_BATCH)
+    stream.run_enrichment(
+        files_, lambda raw: normalized(flatten_verdicts(raw)), out, new_folder(spark, "stream")
+    ).awaitTermination()
+    mended = lambda letters: letters.withColumn("judges", F.coalesce("judges", "petitioner"))
+    for _ in range(2):
+        # The second time there is nothing left to take up.
+        stream.replay(spark, out, normalized, mended)
+    return out
+
+
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of every verdict file, and in which attempt."""
+    rows = stream.outcomes(spark, _streamed_verdicts(spark, folder))
+    return _flat_columns(rows, "attempt")
+
+
+def stream_judge_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The judges of the streamed verdicts, those of later attempts too, by their normalized form."""
+    out = _streamed_verdicts(spark, folder)
     nothing = spark.createDataFrame([], "before string, after string")
     path = new_folder(spark, "dictionary")
-    stream.run_dictionary(pairs, nothing, path, new_folder(spark, "stream")).awaitTermination()
+    stream.run_judge_dictionary(spark, out, nothing, path, new_folder(spark, "stream")).awaitTermination()
+    return stream.read_dictionary_table(spark, path).select("before", "after")
+
+
+def stream_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the turns by their role, kept first-wins over JSON files that come in three runs."""
+    turns = _table(spark, folder, "conversations")
+    source, path, checkpoint = (new_folder(spark, n) for n in ("turns", "dictionary", "stream"))
+    nothing = spark.createDataFrame([], "before string, after string")
+    kinds = turns.schema
+    for part in range(3):
+        turns.where(F.col("conv_id") % 3 == part).write.json(f"{source}/part={part}")
+        read = spark.readStream.schema(kinds).option("recursiveFileLookup", True).json(source)
+        lines = F.posexplode(F.split("text", "\n")).alias("pos", "before")
+        pairs = read.select("conv_id", "turn", "role", lines).select(
+            "before", F.col("role").alias("after"), F.struct("conv_id", "turn", "pos").alias("seen_at")
+        )
+        stream.run_dictionary(pairs, nothing, path, checkpoint).awaitTermination()
     return stream.read_dictionary_table(spark, path).select("before", "after")
 
 
@@ -791,5 +845,7 @@ QUERIES = {
         route_failures,
         stream_normalize,
         stream_dictionary,
+        stream_replay,
+        stream_judge_dictionary,
     )
 } | files.QUERIES

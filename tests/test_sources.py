@@ -268,6 +268,52 @@ def test_stream_takes_new_files_only(spark, folder):
     assert once() - first == {("new.json", "success", 1)}
 
 
+def test_dead_letters_are_read_again(spark, folder):
+    """A file broken in one run and mended before the next comes out once."""
+    out, checkpoint = new_folder(spark, "enriched"), new_folder(spark, "stream")
+    lines = roster_of(spark)
+    normalized = lambda flat: enrich.normalize(flat, ["של"], lines)
+    source = stream.verdict_stream(spark, str(folder / "in"), 2)
+    stream.run_enrichment(
+        source, lambda raw: normalized(verdicts.flatten_verdicts(raw)), out, checkpoint
+    ).awaitTermination()
+    failed = {r.file_name for r in stream.dead_letters(spark, out).collect()}
+    assert failed == {"null.json", "broken.json", "list.json", "bare.json"}
+    assert spark.read.parquet(out).select("batch").distinct().count() == 3
+    put(folder / "in" / "broken.json", dump("7-7-7"))
+    assert stream.replay(spark, out, normalized, lambda x: stream.mended_files(x, 2)) == 4
+    rows = {r.file_name: (r.status, r.attempt, r.id) for r in stream.outcomes(spark, out).collect()}
+    assert rows["broken.json"] == ("success", 1, "7-7-7") and rows["p.json"][:2] == ("success", 0)
+    assert rows["null.json"][:2] == ("failed", 1)
+    # What has come out is not taken up again, whatever its file says now.
+    put(folder / "in" / "broken.json", "{")
+    put(folder / "in" / "bare.json", dump("8-8-8"))
+    assert stream.replay(spark, out, normalized) == 3
+    rows = spark.read.parquet(out).where("status = 'success'").collect()
+    assert sorted((r.file_name, r.attempt) for r in rows) == [("bare.json", 2), ("broken.json", 1), ("d.json", 0), ("p.json", 0)]
+    assert {r.file_name: r.error_reason for r in rows} == dict.fromkeys((r.file_name for r in rows))
+    nothing = spark.createDataFrame([], "before string, after string")
+    path = new_folder(spark, "dictionary")
+    stream.run_judge_dictionary(spark, out, nothing, path, new_folder(spark, "stream")).awaitTermination()
+    good = enrich.normalize(verdicts.flatten_verdicts(verdicts.read_verdicts(spark, str(folder / "in"))), ["של"], lines)
+    want = enrich.judge_dictionary(good, nothing)
+    assert {r.before for r in stream.read_dictionary_table(spark, path).collect()} >= {r.before for r in want.collect()}
+
+
+def test_a_dictionary_batch_reads_no_older_folder(spark, tmp_path):
+    """Every run has a folder of its own here: what is known is in the state alone."""
+    checkpoint = new_folder(spark, "stream")
+    nothing = spark.createDataFrame([], "before string, after string")
+    seen = []
+    for i, pairs in enumerate([[("a", "1"), ("b", "2")], [("a", "3"), ("c", "4")], [("c", "5"), ("b", "6"), ("d", "7")]]):
+        put(tmp_path / "in" / f"{i}.json", "\n".join(f'{{"before":"{x}","after":"{y}","seen_at":{9 - i}}}' for x, y in pairs))
+        rows = spark.readStream.schema("before string, after string, seen_at long").json(str(tmp_path / "in"))
+        path = new_folder(spark, f"dictionary-{i}")
+        stream.run_dictionary(rows, nothing, path, checkpoint).awaitTermination()
+        seen.append({(r.before, r.after) for r in spark.read.parquet(f"{path}/batch={i}").collect()})
+    assert seen == [{("a", "1"), ("b", "2")}, {("c", "4")}, {("d", "7")}]
+
+
 def test_stream_with_a_model(spark, folder):
     rows = [("Civil", "tax appeal court levy"), ("Family", "child law family home")] * 6
     labelled = spark.createDataFrame(
