@@ -29,10 +29,36 @@ def replace_patterns(text: Column, patterns: Sequence[str], put: str = "") -> Co
     return reduce(lambda t, p: F.regexp_replace(t, F.lit(p), F.lit(put)), patterns, text)
 
 
+def _any_of(forms: Sequence[str]) -> str:
+    """A pattern for any of the literal forms, the longest that fits: a tree of their letters."""
+    tree: dict = {}
+    for form in forms:
+        node = tree
+        for letter in form:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        branches = [
+            re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", letter) + written(below)
+            for letter, below in sorted(node.items())
+            if letter
+        ]
+        if not branches:
+            return ""
+        if "" in node:
+            return f"(?:{'|'.join(branches)})?"
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+    return f"(?:{written(tree)})"
+
+
 def prefixed_words_pattern(words: Sequence[str], prefixes: Sequence[str] = PREFIXES) -> str:
-    """One alternation of the words with their prefixes, and of their bare variants.
+    """The words with their prefixes, and their bare variants, as one pattern.
 
-    Two words are also met as 'a-b', and a hyphenated word as 'a b'.
+    Two words are also met as 'a-b', and a hyphenated word as 'a b'. Words are put together by
+    their common beginnings, so a text is led down one branch of a tree and its cost hardly
+    depends on the length of the list.
     """
     variants: list[str] = []
     for word in words:
@@ -42,13 +68,9 @@ def prefixed_words_pattern(words: Sequence[str], prefixes: Sequence[str] = PREFI
         if len(by_hyphen) > 1:
             variants.append(f"{by_hyphen[0]} {by_hyphen[1]}")
 
-    def literal(forms: Sequence[str]) -> str:
-        longest_first = sorted(dict.fromkeys(forms), key=lambda f: (-len(f), f))
-        return "|".join(re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", f) for f in longest_first)
-
-    branches = [f"(?:{'|'.join(prefixes)})(?:{literal(words)})"]
+    branches = [f"(?:{'|'.join(prefixes)}){_any_of(words)}"]
     if variants:
-        branches.append(f"(?:{literal(variants)})")
+        branches.append(_any_of(variants))
     return rf"(?U)(?<!\w)(?:{'|'.join(branches)})(?!\w)"
 
 

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 from pyspark.sql import functions as F
 
 from docketeer.functions import text as X
@@ -30,6 +34,48 @@ def test_prefixed_words_meet_their_variants_and_are_literal(spark):
     assert one(spark, text, lambda c: X.remove_prefixed_words(c, words)) == "(xy) ללא"
 
 
+def listed(words):
+    """The pattern as a plain list of alternatives, the longest first."""
+    forms = [w.split() for w in words if len(w.split()) > 1], [w.split("-") for w in words if "-" in w]
+    variants = [f"{a[0]}-{a[1]}" for a in forms[0]] + [f"{a[0]} {a[1]}" for a in forms[1]]
+    any_of = lambda xs: "|".join(map(re.escape, sorted(set(xs), key=lambda x: (-len(x), x))))
+    branches = [f"(?:x?|yz?)(?:{any_of(words)})"] + ([f"(?:{any_of(variants)})"] if variants else [])
+    return rf"(?<!\w)(?:{'|'.join(branches)})(?!\w)"
+
+
+def test_prefixed_words_by_their_letters():
+    chance = random.Random(6)
+    letters = "abxyz -(."
+    for _ in range(300):
+        words = ["".join(chance.choices(letters, k=chance.randint(1, 4))) for _ in range(chance.randint(1, 8))]
+        words = [w for w in words if w.strip() and not w.startswith("-") and not w.endswith("-") and "--" not in w]
+        if not words:
+            continue
+        text = "".join(chance.choices(letters, k=60))
+        pattern = X.prefixed_words_pattern(words, ["x?", "yz?"]).removeprefix("(?U)")
+        assert re.sub(pattern, "#", text) == re.sub(listed(words), "#", text), (words, text)
+
+
+def test_a_long_word_list_costs_what_a_short_one_does(spark):
+    chance = random.Random(7)
+    words = ["".join(chance.choices("abcdefghij", k=chance.randint(3, 9))) for _ in range(10_000)]
+    texts = [" ".join(chance.choices(words, k=300)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8).cache()
+
+    def seconds(some):
+        out = df.select(X.remove_prefixed_words(F.col("t"), some).alias("t"))
+        out.count(), out.agg(F.sum(F.length("t"))).collect()
+        begin = time.perf_counter()
+        for _ in range(5):
+            left = out.agg(F.sum(F.length("t"))).first()[0]
+        return time.perf_counter() - begin, left
+
+    short, kept = seconds(words[:10])
+    long, none = seconds(words)
+    assert none == 0 < kept
+    assert long < 2 * short + 0.5
+
+
 def test_clean_text(spark):
     got = one(spark, 'ש"ל דנה, 12 ושל בית!', lambda c: X.clean_text(c, ["של"], ["דנה"]))
     assert got == "בית"
