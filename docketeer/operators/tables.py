@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docketeer import schema
 from docketeer.functions import names as N
+from docketeer.operators.order import ranked
 
 
 def unpivot_names(df: DataFrame, key: str, roles: Sequence[str]) -> DataFrame:
@@ -115,6 +116,11 @@ def sorted_by(df: DataFrame, column: str) -> DataFrame:
     return df.orderBy(F.col(column).asc_nulls_last())
 
 
+def ranked_by(df: DataFrame, column: str, key: str, name: str = "rank") -> DataFrame:
+    """Add each row's place by a column, nulls last, ties by key, without one window over all rows."""
+    return ranked(df, [F.col(column).asc_nulls_last(), F.col(key)], name)
+
+
 def first_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 

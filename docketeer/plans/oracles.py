@@ -152,6 +152,11 @@ def first_and_last(wrap) -> str:
     )
 
 
+def ranked_names(column: str) -> str:
+    return f"""SELECT *, row_number() OVER (ORDER BY {column} COLLATE "C" NULLS LAST, p_partkey) AS rank
+      FROM ({first_and_last(lambda x: x)})"""
+
+
 # Texts
 
 WORD = r"[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]"
@@ -685,7 +690,8 @@ ORACLES: dict[str, str] = {
     "strip_names": over_lines(strip("name")),
     "strip_apostrophes": over_lines("translate(name, '’' || chr(39), '')"),
     "first_and_last_names": first_and_last(strip),
-    "names_sorted_by_last": first_and_last(lambda x: x),
+    "names_sorted_by_last": ranked_names("last_name"),
+    "names_sorted_by_first": ranked_names("first_name"),
     "legal_names": rows(legal("names")),
     "organize_name_rows": f"""
       SELECT doc_id, pos, CAST(unnest(range(len(vs))) AS INTEGER) AS pair, unnest(vs) AS name FROM (

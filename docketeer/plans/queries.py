@@ -156,7 +156,12 @@ def first_and_last_names(spark: SparkSession, folder: str) -> DataFrame:
 
 def names_sorted_by_last(spark: SparkSession, folder: str) -> DataFrame:
     named = tables.with_first_and_last(_full_names(spark, folder), "full_name", strip=False)
-    return tables.sorted_by(named, "last_name")
+    return tables.ranked_by(named, "last_name", "p_partkey")
+
+
+def names_sorted_by_first(spark: SparkSession, folder: str) -> DataFrame:
+    named = tables.with_first_and_last(_full_names(spark, folder), "full_name", strip=False)
+    return tables.ranked_by(named, "first_name", "p_partkey")
 
 
 def legal_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -414,15 +419,16 @@ def column_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def step_counts(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder)
-    parts = tables.explode_delimited(lines, "name", ",")
-    return counts.step_counts(
+    """The rows left after each step of one job."""
+    _, counted = counts.step_counts(
+        _lines(spark, folder),
         {
-            "lines": lines,
-            "split": parts,
-            "unrepeated": tables.only_unrepeated(parts.select("name"), ["name"]),
-        }
+            "lines": lambda df: df,
+            "split": lambda df: tables.explode_delimited(df, "name", ","),
+            "unrepeated": lambda df: tables.only_unrepeated(df.select("name"), ["name"]),
+        },
     )
+    return counted
 
 
 def unrepeated_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -783,6 +789,7 @@ QUERIES = {
         strip_apostrophes,
         first_and_last_names,
         names_sorted_by_last,
+        names_sorted_by_first,
         legal_names,
         organize_name_rows,
         explode_delimited,

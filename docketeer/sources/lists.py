@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketeer.operators.order import ranked
+
 # Up to this many words a list is put into expressions as literals.
 LITERAL_WORDS = 10_000
 
@@ -29,10 +31,19 @@ def short_list(words: DataFrame, most: int = LITERAL_WORDS) -> list[str] | None:
 
 
 def read_roster(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, line): the lines of one roster file in their order."""
-    whole = spark.read.text(path, wholetext=True)
-    text = F.regexp_replace(_without_bom("value"), r"\r?\n\z", "")
-    return whole.select(F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line"))
+    """(pos, line): the lines of a roster in their order, of one file or of parts by their names.
+
+    Files are read in splits; the lines are numbered from 0 on, those of all parts together.
+    """
+    raw = spark.read.text(path).select(
+        _without_bom("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    # Within a block the rows of a task are in file order.
+    numbered = ranked(raw, [F.col("_file"), F.col("_block"), F.col("_row")], "pos")
+    return numbered.select((F.col("pos") - 1).cast("int").alias("pos"), "line")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -79,6 +90,23 @@ def write_names(names: DataFrame, path: str) -> None:
     names.select("role", "name").write.partitionBy("role").option("lineSep", "*").text(path)
 
 
+def name_role_files(spark: SparkSession, path: str, out: str) -> None:
+    """Give the parts that :func:`write_names` wrote the names of their roles, as role.0.txt and so on.
+
+    Files are renamed, not read: as many as roles times the tasks that wrote them.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = lambda p: hadoop.Path(p)
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at(out))
+    for folder in files.listStatus(at(path)):
+        name = folder.getPath().getName()
+        if folder.isDirectory() and name.startswith("role="):
+            parts = [f.getPath() for f in files.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            for i, part in enumerate(parts):
+                files.rename(part, at(f"{out}/{name.removeprefix('role=')}.{i}.txt"))
+
+
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", "*").text(path)
     return raw.select("role", F.col("value").alias("name"))

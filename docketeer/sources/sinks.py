@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from docketeer import schema
 from docketeer.operators.bayes import Model
-from docketeer.operators.tables import sorted_by
+from docketeer.operators.tables import ranked_by, sorted_by
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -28,10 +28,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     csv_ready(df).write.option("header", True).option("escape", '"').csv(path)
 
 
-def write_sorted_csv(names: DataFrame, by_first: str, by_last: str) -> None:
-    """The name table twice, sorted by first and by last name."""
-    write_csv(sorted_by(names, "first_name"), by_first)
-    write_csv(sorted_by(names, "last_name"), by_last)
+def write_sorted_csv(names: DataFrame, by_first: str, by_last: str, key: str | None = None) -> None:
+    """The name table twice, sorted by first and by last name, nulls last.
+
+    The files of a folder follow each other in that order. With a ``key``, by which ties go, every
+    row has its ``rank``, which says the order whatever becomes of the files.
+    """
+    for column, path in (("first_name", by_first), ("last_name", by_last)):
+        if key is None:
+            write_csv(sorted_by(names, column), path)
+        else:
+            write_csv(ranked_by(names, column, key).orderBy("rank"), path)
 
 
 def verdict_documents(flat: DataFrame) -> DataFrame:

@@ -166,8 +166,12 @@ def test_summary_steps_and_status(spark):
     df = spark.createDataFrame([("x", 1), ("x", None), ("y", 1)], "a string, b int")
     got = {r.column: (r["count"], r.unique, r.top, r.freq) for r in counts.column_summary(df, ["a", "b"]).collect()}
     assert got == {"a": (3, 2, "x", 2), "b": (2, 1, "1", 2)}
-    steps = counts.step_counts({"all": df, "some": df.where("a = 'x'")})
-    assert {r.step: r.n for r in steps.collect()} == {"all": 3, "some": 2}
+    made = {"all": lambda d: d, "some": lambda d: d.where("a = 'x'"), "kinds": lambda d: d.select("a").distinct()}
+    result, steps = counts.step_counts(df, made)
+    assert {r.step: r.n for r in steps.collect()} == {"all": 3, "some": 2, "kinds": 1}
+    assert [r.a for r in result.collect()] == ["x"]
+    _, steps = counts.step_counts(df.where("b > 5"), made)
+    assert {r.step: r.n for r in steps.collect()} == {"all": 0, "some": 0, "kinds": 0}
     passed, seen = counts.watched(df.where("a = 'x'"), "some")
     passed.collect()
     assert seen.get == {"n": 2}
