@@ -10,11 +10,12 @@ Benjamini and Hochberg's step-up rule within its length band, over all candidate
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docketeer.functions.names import bind
 from docketeer.session import settled
 
 ASSIGN = (
@@ -52,23 +53,52 @@ NO_CANDIDATES = (
 )
 
 
+def _summed(
+    items: Column, start: Column, step: Callable[[Column, Column], Column], base: Callable[[Column, Column], Column], kind: str
+) -> Column:
+    """A list made by a running fold, in time linear in it but for its square root.
+
+    ``step`` adds to a state (at, out) as an aggregate does; a list that grows is copied at every
+    step, so this is done for blocks by themselves, and ``base`` then moves what a block gave by
+    the sums of the blocks before.
+    """
+    size = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int")),
+        lambda b: F.aggregate(F.slice(items, b * size + 1, size), start, step),
+    )
+
+    def joined(held: Column) -> Column:
+        totals = F.aggregate(
+            held,
+            F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
+            lambda s, x: F.struct((s["at"] + x["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+        )["out"]
+        return F.flatten(F.zip_with(held, totals, lambda x, at: F.transform(x["out"], lambda o: base(o, at))))
+
+    return F.when(F.size(items) > 0, bind(blocks, joined)).otherwise(F.expr(f"cast(array() as {kind})"))
+
+
+FOUND = "array<struct<start:int,kind:int,end:int,hit:string>>"
+
+
 def _found(text: Column, pattern: str, kind: int) -> Column:
     """Matches as structs (start, kind, end, hit), in code points, by summing gaps and hits."""
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
-    none = "cast(array() as array<struct<start:int,kind:int,end:int,hit:string>>)"
-    start = F.struct(F.lit(0).alias("at"), F.expr(none).alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {FOUND})").alias("out"))
+
+    def one(begin: Column, end: Column, hit: Column) -> Column:
+        return F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), hit.alias("hit"))
 
     def step(state: Column, x: Column) -> Column:
         begin = state["at"] + F.length(x["gap"])
         end = begin + F.length(x["hit"])
-        one = F.struct(
-            begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["hit"].alias("hit")
-        )
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one(begin, end, x["hit"]))).alias("out"))
 
-    found = F.aggregate(pairs, start, step, lambda s: s["out"])
-    return F.when(F.size(hits) > 0, found).otherwise(F.expr(none))
+    moved = lambda o, at: one(o["start"] + at, o["end"] + at, o["hit"])
+    found = bind(pairs, lambda p: _summed(p, start, step, moved, FOUND))
+    return F.when(F.size(hits) > 0, found).otherwise(F.expr(f"cast(array() as {FOUND})"))
 
 
 def _below(z: Column) -> Column:
@@ -166,13 +196,59 @@ def _limits(candidates: DataFrame) -> DataFrame:
     return ranked.where(fits).groupBy("band").agg(F.min("step").alias("limit"))
 
 
+def _ends_so_far(spans: Column) -> Column:
+    """For each span, in order, the farthest end of those up to it."""
+    size = F.greatest(F.ceil(F.sqrt(F.size(spans))), F.lit(1)).cast("int")
+    none = F.expr("cast(array() as array<int>)")
+
+    def rising(ends: Column, least: Column) -> Column:
+        start = F.struct(least.alias("at"), none.alias("out"))
+        return F.aggregate(
+            ends,
+            start,
+            lambda s, e: F.struct(F.greatest(s["at"], e).alias("at"), F.concat(s["out"], F.array(F.greatest(s["at"], e))).alias("out")),
+        )["out"]
+
+    ends = F.transform(spans, lambda x: x["end"])
+
+    def joined(held: Column) -> Column:
+        farthest = rising(F.transform(held, lambda b: F.array_max(b)), F.lit(0))
+        before = F.concat(F.array(F.lit(0)), farthest)
+        return F.flatten(F.transform(held, lambda b, i: rising(b, F.get(before, i))))
+
+    blocks = bind(ends, lambda e: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(e) - 1) / size).cast("int")), lambda b: F.slice(e, b * size + 1, size)
+    ))
+    return F.when(F.size(spans) > 0, bind(blocks, joined)).otherwise(none)
+
+
 def _spans_of(hits: Column, extra: Column) -> Column:
-    """Base spans, and the random ones that no base span touches, by start and kind."""
-    free = F.filter(
-        extra, lambda x: ~F.exists(hits, lambda h: (h["start"] < x["end"]) & (x["start"] < h["end"]))
-    )
+    """Base spans, and the random ones that no base span touches, by start and kind.
+
+    A random span is touched if the farthest end of the base spans that begin before its end lies
+    behind its start; which these are is found by halved steps, as the base spans are in order.
+    """
     short = lambda x: F.struct(x["start"], x["kind"], x["end"])
-    return F.array_sort(F.concat(F.transform(hits, short), F.transform(free, short)))
+    steps = F.reverse(F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(hits), F.lit(1)))).cast("int")))
+
+    step = lambda k: F.pow(F.lit(2), k).cast("int")
+
+    def free(ends: Column) -> Column:
+        def touched(x: Column) -> Column:
+            before = F.aggregate(
+                steps,
+                F.lit(0),
+                lambda at, k: F.when(
+                    (at + step(k) <= F.size(hits)) & (F.get(hits, at + step(k) - 1)["start"] < x["end"]), at + step(k)
+                ).otherwise(at),
+            )
+            return F.coalesce(F.get(ends, before - 1) > x["start"], F.lit(False))
+
+        return F.filter(extra, lambda x: ~touched(x))
+
+    all_of = lambda left: F.array_sort(F.concat(F.transform(hits, short), F.transform(left, short)))
+    both = bind(bind(_ends_so_far(hits), free), all_of)
+    return F.when(F.size(extra) > 0, both).otherwise(F.transform(hits, short))
 
 
 def find_secrets(

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -79,3 +80,34 @@ def test_edges_and_random_tokens(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(none).count() == 0
+
+
+def test_very_many_matches(spark):
+    """100,000 matches in a text are put together in time in proportion."""
+    keys = ["".join(RANDOM.choices(SIGNS, k=24)) for _ in range(20_000)]
+    said = [f"token={i:06x}" if i % 5 else f"{keys[i // 5]} password: {i:030x}" for i in range(100_000)]
+    text = " ".join(said)
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    secrets.find_secrets(table.limit(0)).collect()
+    begin = time.perf_counter()
+    row = secrets.find_secrets(table, carry=["doc_id"]).first()
+    assert time.perf_counter() - begin < 30
+    assert [tuple(b) for b in row.base] == base(text)
+    assert len(row.base) > 100_000
+
+
+def test_random_spans_beside_base_spans(spark):
+    """A random span goes where a base span touches it, as comparing all of them tells."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        hits = sorted((a, 0, a + rng.randint(1, 9)) for a in rng.sample(range(100), rng.randint(0, 30)))
+        extra = [(a, 3, a + rng.randint(1, 6)) for a in sorted(rng.sample(range(100), rng.randint(0, 10)))]
+        rows.append((i, hits, extra))
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    table = spark.createDataFrame(rows, f"i int, hits {kind}, extra {kind}")
+    got = table.select("i", secrets._spans_of(F.col("hits"), F.col("extra")).alias("s")).collect()
+    for r in got:
+        _, hits, extra = rows[r.i]
+        free = [x for x in extra if not any(h[0] < x[2] and x[0] < h[2] for h in hits)]
+        assert [tuple(x) for x in r.s] == sorted(hits + free)
