@@ -18,7 +18,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketeer.operators import grams
+from docketeer.operators.grams import FILTER_BITS, term_filter
 from docketeer.session import settled
 
 # Tasks get these functions by value, as executors need not have the package.
@@ -84,8 +84,8 @@ class Index:
 
     def __init__(self, names: DataFrame) -> None:
         heads = names.select("w", F.col("head").alias("t1"))
-        self.heads: Broadcast = grams.term_filter(heads, "w")
-        self.wholes: Broadcast = grams.term_filter(names, "w")
+        self.heads: Broadcast = term_filter(heads, "w")
+        self.wholes: Broadcast = term_filter(names, "w")
         # As many rows as names of a column have lengths.
         rows = names.select("kind", "w", "length").distinct().collect()
         self.lengths = {w: sorted({r["length"] for r in rows if r["w"] == w}) for w in {r["w"] for r in rows}}
@@ -93,7 +93,7 @@ class Index:
 
 
 def _passes(bits: np.ndarray, t1: np.ndarray, slot: int) -> np.ndarray:
-    at = (t1.view(np.int64) ^ (slot << 13)) & (grams.FILTER_BITS - 1)
+    at = (t1.view(np.int64) ^ (slot << 13)) & (FILTER_BITS - 1)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
