@@ -63,5 +63,17 @@ def test_entry_without_a_part(missing):
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
 
 
+def test_tasks_do_not_need_the_package(tmp_path):
+    """Tasks get their functions by value: the workers of this session cannot import the library."""
+    root = Path(__file__).resolve().parents[1]
+    code = (
+        f"import sys; sys.path.insert(0, {str(root)!r}); from docketeer.session import local_session;"
+        "spark = local_session('2', 'alone'); import __spark_entry__ as e;"
+        f"[e.queries()[q](spark, {FOLDER!r}).collect() for q in ('normalized_name_counts', 'model_classes')]"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True)
+
+
 def test_entry(spark):
     assert entry(spark).count() == 10
