@@ -51,6 +51,19 @@ def test_query(spark, duck, name):
     assert got
 
 
+@pytest.mark.parametrize("name", ["stream_normalize", "stream_enrich"])
+def test_streams_take_a_table_of_several_files(spark, tmp_path, name):
+    for table in TABLES:
+        rows = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+        (rows.repartition(3) if table == "documents" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    columns = ["id", "error_reason", "judges", "defense"]
+    got, want = (
+        Counter(tuple(map(plain, row)) for row in queries()[name](spark, str(f)).select(columns).collect())
+        for f in (tmp_path, FOLDER)
+    )
+    assert got == want and got
+
+
 @pytest.mark.parametrize("missing", ["ahocorasick", "docketeer.llm", "corpus_pipeline"])
 def test_entry_without_a_part(missing):
     """A library or a part that is not there takes its own queries with it, and no others."""
