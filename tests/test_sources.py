@@ -143,6 +143,13 @@ def test_index_dump_keeps_the_last_line_of_an_id(spark, tmp_path):
     assert {r.id: r.category for r in flat.collect()} == {"a": "Three", "b": "Four"}
 
 
+def test_a_dump_is_grouped_by_its_ids_alone(spark, tmp_path):
+    put(tmp_path / "x" / "0.json", json.dumps(dump("a"), ensure_ascii=False))
+    plan = verdicts.read_index_dump(spark, str(tmp_path / "x"))._jdf.queryExecution().optimizedPlan().toString()
+    groups = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert groups and not any("Doc Details" in line or "_source" in line for line in groups)
+
+
 def test_labelled_tree(spark, tmp_path):
     root = tmp_path / "tree + x"
     put(root / "Civil - A" / "1.json", dump("1"))
