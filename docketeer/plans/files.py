@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docketeer import schema
 from docketeer.operators import bayes, lookup, tables
-from docketeer.session import new_folder
+from docketeer.session import new_folder, spread
 from docketeer.sources import lists, sinks, verdicts
 
 # Letters from which a document is a long one here.
@@ -44,7 +44,8 @@ def _flat(rows: DataFrame, key: str) -> DataFrame:
 def _items(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as verdicts; the longer half of them is a category of its own."""
     kind = F.when(F.length("text") > LONG, "long").otherwise("short").alias("category")
-    return _flat(_table(spark, folder, "documents").select("doc_id", "text", kind), "doc_id")
+    docs = spread(_table(spark, folder, "documents").select("doc_id", "text", kind), "doc_id")
+    return _flat(docs, "doc_id")
 
 
 def _shown(flat: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketeer import schema
-from docketeer.plans import enrich, reports
+from docketeer.plans import enrich, files, reports
 from docketeer.session import new_folder, spread
 from docketeer.sources import lists, sinks, verdicts
 from docketeer.streaming import enrich as stream
@@ -150,6 +150,14 @@ def test_a_dump_is_grouped_by_its_ids_alone(spark, tmp_path):
     assert groups and not any("Doc Details" in line or "_source" in line for line in groups)
 
 
+def test_single_files_are_written_by_all_cores(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(40).selectExpr("id as doc_id", "'a b' as text").coalesce(1).write.parquet(path)
+    rows = files.verdict_folder(spark, str(tmp_path)).collect()
+    assert len(rows) == 40
+    assert files._items(spark, str(tmp_path)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_labelled_tree(spark, tmp_path):
     root = tmp_path / "tree + x"
     put(root / "Civil - A" / "1.json", dump("1"))
