@@ -209,6 +209,22 @@ def test_scoring_leaves_a_stored_model_where_it_is(spark, fitted):
     assert "Bucketed: true" in plans[0]
 
 
+def test_terms_are_moved_once_to_where_they_are_stored(spark):
+    """The same model, which the sums of its terms alone are shuffled for."""
+    docs = spark.createDataFrame([t[:2] for t in TEXTS], "id long, text string")
+    rows = [(m, n, y, i) for m, n in (("tax", 1), ("all", 2), ("more", 2)) for i, _, y in TEXTS]
+    members = spark.createDataFrame(rows, "model string, n int, label int, id long")
+    whole, left = (bayes.fit(members, docs, "id", "text", stored=s) for s in (True, False))
+    columns = ["cell", "model", "n", "t1", "t2", "df", *(F.round(c, 9) for c in ("idf", "log_p0", "log_p1"))]
+    got, want = (Counter(map(tuple, m.terms.select(columns).collect())) for m in (left, whole))
+    assert got == want and got
+    assert sorted(map(str, left.classes.collect())) == sorted(map(str, whole.classes.collect()))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = left.terms.repartition(parts, *sinks.TERM_KEY)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(n#\d+, t1#\d+L, t2#\d+L", plan)) == 1
+    assert not re.findall(r"Exchange hashpartitioning\([^)]*cell#", plan)
+
+
 @pytest.mark.parametrize("rows", [0.5, 2, 100_000])
 def test_hot_terms_count_like_others(spark, fitted, monkeypatch, rows):
     docs, model = fitted
