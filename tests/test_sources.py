@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketeer import schema
+from docketeer.operators import roster
 from docketeer.plans import enrich, files, reports
-from docketeer.session import new_folder, spread
+from docketeer.session import grouped_listings, new_folder, spread
 from docketeer.sources import lists, sinks, verdicts
 from docketeer.streaming import enrich as stream
 
@@ -315,6 +316,43 @@ def test_dead_letters_are_read_again(spark, folder):
     assert {r.before for r in stream.read_dictionary_table(spark, path).collect()} >= {r.before for r in want.collect()}
 
 
+def test_batches_share_columns_and_roster(spark, folder, monkeypatch):
+    """What a batch is normalized with is made once, and as one table is normalized."""
+    looked, lines = [], roster_of(spark)
+    own = roster.small_roster
+    monkeypatch.setattr(roster, "small_roster", lambda r: looked.append(r) or own(r))
+    flat = verdicts.flatten_verdicts(verdicts.read_verdicts(spark, str(folder / "in")))
+    normalized = enrich.normalizer(["של"], roster.ready_roster(lines))
+    parts = [normalized(flat.where(F.pmod(F.xxhash64("file_name"), F.lit(2)) == i)).collect() for i in range(2)]
+    assert len(looked) == 1
+    assert sorted(map(str, parts[0] + parts[1])) == sorted(map(str, enrich.normalize(flat, ["של"], lines).collect()))
+    # A roster too long for a literal is written once, with the same result.
+    monkeypatch.setattr(roster, "LITERAL_LINES", 1)
+    long = enrich.normalizer(["של"], roster.ready_roster(lines))
+    assert sorted(map(str, long(flat).collect())) == sorted(map(str, normalized(flat).collect()))
+
+
+def test_paths_are_listed_by_a_task_for_each_core(spark, tmp_path):
+    for i in range(40):
+        put(tmp_path / f"{i}.json", dump(str(i)))
+    paths = [str(tmp_path / f"{i}.json") for i in range(40)]
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    tracker = spark.sparkContext.statusTracker()
+
+    def tasks(group):
+        spark.sparkContext.setJobGroup(group, group)
+        assert verdicts.read_verdicts(spark, paths).schema
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        return [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+
+    assert max(tasks("alone")) == 40
+    with grouped_listings(spark):
+        assert max(tasks("grouped")) == spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name) == before
+
+
 def test_a_dictionary_batch_reads_no_older_folder(spark, tmp_path):
     """Every run has a folder of its own here: what is known is in the state alone."""
     checkpoint = new_folder(spark, "stream")
