@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from docketeer.functions import names as N
 from docketeer.operators import joins, lookup, roster, tokens
 
 
@@ -209,3 +210,23 @@ def test_category_assignment(spark):
         ("12-20-2", "Civil"),
         ("12-20-2", "Family"),
     ]
+
+
+def test_lists_are_cleaned_by_the_tokens_that_may_be_listed(spark):
+    """As the literal form has it; of the tokens only those a filter lets pass are shuffled."""
+    rng = random.Random(3)
+    blanks = [" ", "  ", "\t", "\n"]
+    name = lambda: rng.choice(["", " "]) + "".join(w + rng.choice(blanks) for w in words(rng, rng.randint(0, 6)))
+    names = lambda: rng.choice([None, [], [rng.choice([None, name()]) for _ in range(rng.randint(1, 5))]])
+    rows = [(names(), names()) for _ in range(60)] + [(["א ב", "ב"], ["א ב", "ב"])] * 3
+    df = spark.createDataFrame(rows, "u array<string>, v array<string>")
+    listed = words(rng, 25) + ["ב", "ב", None, "\n", ""]
+    table = spark.createDataFrame([(w,) for w in listed], "word string")
+    got = tokens.remove_from_lists(df, ["u", "v"], table)
+    short = [w for w in listed if w]
+    # Null names go as well, as they have no token left.
+    want = df.select(*(F.array_compact(N.without_words_each(F.col(c), short)).alias(c) for c in ("u", "v")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bits" in plan
+    assert tokens.remove_from_lists(df, ["u"], table.where("false")).count() == len(rows)
