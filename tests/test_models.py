@@ -406,3 +406,18 @@ def test_columns_are_correlated_apart(spark):
             for j in range(i + 1, 4):
                 assert corr[column, *one, *features[j]] == pytest.approx(matrix[i, j])
     assert cooccur.correlations(df.limit(0), {"a": [], "b": []}, "category", ["Tax"]).count() == 0
+
+
+def test_tfidf_makes_its_texts_once(spark):
+    """A text costs one reading, however often its terms are needed."""
+    read = spark.sparkContext.accumulator(0)
+    texts = [(i, " ".join(f"w{j}" for j in range(i % 7 + 2))) for i in range(50)]
+
+    def said(text):
+        read.add(1)
+        return text
+
+    docs = spark.createDataFrame(texts, "id long, text string").withColumn("text", F.udf(said, "string")("text"))
+    got = terms.tfidf(docs, "id", "text", 1).collect()
+    assert len(got) == sum(len(t.split()) for _, t in texts)
+    assert read.value == len(texts)
