@@ -421,3 +421,12 @@ def test_tfidf_makes_its_texts_once(spark):
     got = terms.tfidf(docs, "id", "text", 1).collect()
     assert len(got) == sum(len(t.split()) for _, t in texts)
     assert read.value == len(texts)
+
+
+def test_texts_of_a_small_table_are_worked_on_by_all_cores(spark):
+    """N-grams of many sizes are many times the texts, whose size alone would make one task of them."""
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(200)], "id long, text string").coalesce(1)
+    cells = docs.select("id", G.cell(F.lit(1), F.lit(1)).alias("_cell"))
+    texts = bayes._hashed_members(docs, cells, "id", "text")
+    held = [r["n"] for r in texts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(held) >= spark.sparkContext.defaultParallelism / 2 and sum(held) == 200
