@@ -1,11 +1,15 @@
 """The main text of web pages: their structure, and a suffix array over each host's token streams.
 
 A page is read into words. Menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments are known by element, role, class or id, and go. Where a page marks its article, the
-words in there are its text. Where it does not, what is left is open: the token streams of all
-pages of a host, words and block tags of everything outside marked articles, are concatenated,
-the suffix array gives the runs of RUN tokens or more that stand on PAGES distinct pages or more,
-and open words that such a run covers are boilerplate; the unique runs stay.
+comments are known by element, role, class or id, and go. What is left goes by the suffix array of
+its host's token streams, which are concatenated; the unique runs stay:
+
+* Where a page marks its article, the words in there are its text. As the mark speaks for them, a
+  run of RUN of its words or more is boilerplate where it stands in over half of the host's distinct
+  articles, and in ARTICLES of them at least: a notice of the site that is put into each.
+* Where it does not, what is left is open: words and block tags of everything outside marked
+  articles are the streams, and open words are boilerplate that lie in a run of RUN tokens or more
+  which stands on PAGES distinct pages or more.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from docketeer.llm import suffixes
 from docketeer.session import settled
 
 RUN, PAGES = 8, 3
+# Distinct articles of a host that a run stands in at least, beside over half of all.
+ARTICLES = 10
 # A page has text of its own where one open word in so many at least is in no shared run.
 OWN = 10
 # Distinct pages of a host whose streams are put together; a larger host is worked through as
@@ -335,6 +341,155 @@ def _shared(group: pd.DataFrame, shared: pd.DataFrame) -> tuple[list[list[str]],
     return streams, at, hashes[at], page, _flags(at, begins, sizes, RUN)
 
 
+def _stretches(streams: list[list[str]], sites: np.ndarray) -> tuple[list[list[str]], np.ndarray]:
+    """The stretches of RUN words or more that each stand in over half of a site's streams; their stream.
+
+    A run that over half of the streams hold lies in such stretches, as each of its words does.
+    """
+    sizes = np.array([len(s) for s in streams], np.int64)
+    page = np.repeat(np.arange(len(streams)), sizes)
+    words = np.array([w for s in streams for w in s], object)
+    own = pd.factorize(words)[0].astype(np.int64) * (int(sites.max(initial=0)) + 1) + sites[page]
+    index = np.unique(own, return_inverse=True)[1]
+    often = 2 * _spread(index, page, len(streams))[index] > np.bincount(sites)[sites[page]]
+    begins = np.flatnonzero(often & np.append(True, ~often[:-1] | (page[1:] != page[:-1]))) if len(page) else page
+    ends = np.flatnonzero(often & np.append(~often[1:] | (page[1:] != page[:-1]), True)) + 1 if len(page) else page
+    long = ends - begins >= RUN
+    begins, ends = begins[long], ends[long]
+    return [words[b:e].tolist() for b, e in zip(begins.tolist(), ends.tolist(), strict=True)], page[begins]
+
+
+def _is_open(words: list[str], tokens: list[str]) -> bool:
+    """Whether a page marks no article and has words that may be its text."""
+    return not words and any(w[:1] == OPEN for w in tokens)
+
+
+def _digest(said: str) -> bytes:
+    return hashlib.blake2b(said.encode(errors="replace"), digest_size=16).digest()
+
+
+def article_runs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, runs) of the runs that are boilerplate in articles, and (host) of those with an open page.
+
+    ``rows`` has id, url, html and host. A run in over half of a host's distinct articles is in over
+    half of those of one of its sites, so each site's suffix array tells which runs to count over
+    the whole host, and how it is cut into sites decides nothing.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            hosts, texts, digests = [], [], []
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                words, tokens = read_page(page or "")
+                said = " ".join(words)
+                if not words and not _is_open(words, tokens):
+                    continue
+                digest = _digest(said)
+                if (host, digest) not in seen:
+                    seen.add((host, digest))
+                    hosts.append(host)
+                    texts.append(said)
+                    digests.append(digest)
+            out = [pa.array(hosts, pa.string()), pa.array(texts, pa.string()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["host", "text", "digest"])
+
+    pages = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / SITE_PAGES))
+    pages = settled(pages, "hosts")
+    groups = max(1, -(-(pages.agg(F.sum("n")).first()[0] or 0) // GROUP_PAGES))
+    # One row for SITE_PAGES pages at most.
+    large = F.broadcast(pages.where("parts > 1").select("host", "parts"))
+    found = rows.select("host", "html").mapInArrow(read, "host string, text string, digest binary")
+    found = found.join(large, "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    site = F.xxhash64("host", F.pmod(F.xxhash64("digest"), "parts"))
+    found = found.withColumn("site", site).withColumn("group", F.pmod("site", F.lit(groups)))
+
+    def nominate(group: pd.DataFrame) -> pd.DataFrame:
+        """A row for each site, and one for each run in over half of its articles."""
+        group = group.drop_duplicates(["host", "digest"])
+        open_page = group["text"] == ""
+        told = [pd.DataFrame({"host": group["host"][open_page].unique(), "n": 0, "run": None, "open": True})]
+        group = group[~open_page]
+        # A host that has no more than these is in one site.
+        size = group.groupby(["host", "site"])["digest"].transform("size")
+        total = group.groupby(["host", "site"], as_index=False).agg(n=("digest", "size"), parts=("parts", "first"))
+        total = total[(total["n"] >= ARTICLES) | (total["parts"] > 1)]
+        told.append(total[["host", "n"]].assign(run=None, open=False))
+        group = group[(size >= ARTICLES) | (group["parts"] > 1)]
+        if len(group):
+            sites, own = np.unique(group["site"].to_numpy(), return_inverse=True)
+            streams, page = _stretches([s.split(" ") for s in group["text"]], own)
+            at, index, stretch, _, _ = _runs(streams, own[page], RUN) if streams else [np.zeros(0, np.int64)] * 5
+            _, one = np.unique(index, return_index=True)
+            here = np.bincount(own)[own[page[stretch[one]]]]
+            one = one[2 * _spread(index, page[stretch], len(group)) > here]
+            if len(one):
+                hosts = group["host"].to_numpy()[page[stretch[one]]]
+                runs = pd.array(_hashes(streams)[0][at[one]], dtype="Int64")
+                told.append(pd.DataFrame({"host": hosts, "n": 0, "run": runs, "open": False}))
+        out = pd.concat([t.astype({"run": "Int64", "n": "int64", "open": bool}) for t in told if len(t)] or [told[0]])
+        return out[["host", "n", "run", "open"]]
+
+    # As many partitions as groups, so that a task's part does not grow with the table.
+    grouped = found.repartition(groups, "group").groupBy("group")
+    told = settled(grouped.applyInPandas(nominate, "host string, n long, run long, open boolean"), "sites")
+    open_hosts = told.where("open").select("host").distinct()
+    named = told.where("run is not null").groupBy("host").agg(F.collect_set("run").alias("runs"))
+    named = settled(named, "named")
+    if named.isEmpty():
+        return named, open_hosts
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, runs = [], []
+            columns = (batch.column(c).to_pylist() for c in ("html", "runs"))
+            for page, wanted in zip(*columns, strict=True):
+                words = read_page(page or "")[0]
+                hashes = _hashes([words])[0][: max(0, len(words) - RUN + 1)]
+                digests.append(_digest(" ".join(words)))
+                runs.append(np.intersect1d(hashes, np.array(wanted, np.int64)).tolist())
+            out = [batch.column("host"), pa.array(digests, pa.binary()), pa.array(runs, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(out, ["host", "digest", "runs"])
+
+    texts = rows.select("host", "html").join(named, "host").mapInArrow(held, "host string, digest binary, runs array<long>")
+    texts = texts.where(F.size("runs") > 0).dropDuplicates(["host", "digest"])
+    count = texts.select("host", F.explode("runs").alias("run")).groupBy("host", "run").agg(F.count(F.lit(1)).alias("n"))
+    all_of = told.groupBy("host").agg(F.sum("n").alias("articles"))
+    often = count.join(all_of, "host").where((F.col("n") >= ARTICLES) & (2 * F.col("n") > F.col("articles")))
+    return settled(often.groupBy("host").agg(F.collect_list("run").alias("runs")), "frequent"), open_hosts
+
+
+def without_runs(words: list[str], runs: np.ndarray) -> list[str]:
+    """The words of an article that lie in none of the runs; all of them if those cover over half."""
+    hashes = _hashes([words])[0][: max(0, len(words) - RUN + 1)]
+    at = np.flatnonzero(np.isin(hashes, runs))
+    gone = A.covered(at, at + RUN, len(words))
+    if 2 * int(gone.sum()) > len(words):
+        return words
+    return [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
+
+
+def _cut_articles(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(id, url, text, open): the marked text of every page, without its host's frequent runs."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, opened = [], []
+            for page, runs in zip(batch.column("html").to_pylist(), batch.column("runs").to_pylist(), strict=True):
+                words, tokens = read_page(page or "")
+                opened.append(_is_open(words, tokens))
+                texts.append(" ".join(without_runs(words, np.array(runs, np.int64)) if runs else words))
+            out = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(opened, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(out, ["id", "url", "text", "open"])
+
+    if frequent.isEmpty():
+        beside = rows.withColumn("runs", F.lit(None).cast("array<long>"))
+    else:
+        beside = rows.join(frequent, "host", "left")
+    return beside.select("id", "url", "html", "runs").mapInArrow(read, f"id {kind}, url string, text string, open boolean")
+
+
 def main_text(
     df: DataFrame, key: str = "page_id", url: str = "url", page: str = "html"
 ) -> DataFrame:
@@ -345,36 +500,38 @@ def main_text(
     an empty table gives an empty one; other columns are not looked at. Pages that repeat are read
     alike and count as one page. So that near copies are not boilerplate of each other, only pages
     that mark an article, or of whose open words one in OWN at least lies in no run that PAGES
-    pages share, make a run boilerplate. Only hosts with a page that marks no article are shuffled,
-    one row for each distinct page.
+    pages share, make a run boilerplate. An article of which frequent runs cover over half is a near
+    copy and stays whole. Pages are read again rather than written; the words of each task's distinct
+    articles are shuffled once, and the pages of hosts with one that marks no article.
     """
     rows = df.select(
         F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").alias("html")
     )
+    rows = rows.withColumn("host", host_of(F.col("url")))
+    frequent, open_hosts = article_runs(rows)
+    marked = _cut_articles(rows, frequent).where("not open").select("id", "url", "text")
+    if open_hosts.isEmpty():
+        return marked
     kind = rows.schema["id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                texts, streams, digests = [], [], []
-                for html_text in part.column(2).to_pylist():
+                texts, streams, digests, opened = [], [], [], []
+                for html_text in part.column("html").to_pylist():
                     words, tokens = read_page(html_text or "")
+                    opened.append(_is_open(words, tokens))
                     texts.append(" ".join(words))
                     streams.append(" ".join(tokens))
-                    said = f"{texts[-1]}\n{streams[-1]}".encode(errors="replace")
-                    digests.append(hashlib.blake2b(said, digest_size=16).digest())
-                out = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(streams, pa.string())]
-                out += [pa.array(digests, pa.binary()), pa.array([OPEN in s for s in streams])]
-                yield pa.RecordBatch.from_arrays(out, ["id", "url", "text", "stream", "digest", "open"])
-
-    parsed = rows.mapInArrow(read, f"id {kind}, url string, text string, stream string, digest binary, open boolean")
-    parsed = settled(parsed.withColumn("host", host_of(F.col("url"))), "pages")
-    unmarked = parsed.where("open")
-    if unmarked.isEmpty():
-        return parsed.select("id", "url", "text")
-
-    known = parsed.join(unmarked.select("host").distinct(), "host", "left_semi")
+                    digests.append(_digest(f"{texts[-1]}\n{streams[-1]}"))
+                out = [*(part.column(c) for c in ("id", "url", "host")), pa.array(texts, pa.string()), pa.array(streams, pa.string())]
+                out += [pa.array(digests, pa.binary()), pa.array(opened, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(out, ["id", "url", "host", "text", "stream", "digest", "open"])
+
+    schema = f"id {kind}, url string, host string, text string, stream string, digest binary, open boolean"
+    known = settled(rows.join(open_hosts, "host", "left_semi").select("id", "url", "host", "html").mapInArrow(read, schema), "pages")
+    unmarked = known.where("open")
     # One row for each distinct page of a host; its copies are never in two sites.
     hosts = known.select("host", "digest").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     hosts = settled(hosts, "hosts").withColumn("parts", F.ceil(F.col("n") / SITE_PAGES))
@@ -448,5 +605,4 @@ def main_text(
     texts = grouped.cogroup(shared.groupBy("group")).applyInPandas(finish, "host string, digest binary, text string")
     texts = settled(texts, "texts")
     opened = unmarked.select("id", "url", "host", "digest").join(texts, ["host", "digest"])
-    done = parsed.where("not open").select("id", "url", "text")
-    return done.unionByName(opened.select("id", "url", "text"))
+    return marked.unionByName(opened.select("id", "url", "text"))

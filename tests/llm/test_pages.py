@@ -187,3 +187,46 @@ def iter_tags(page):
     while (found := tags.find(at)) is not None:
         yield found
         at = found[1]
+
+
+def test_notices_inside_articles(spark, monkeypatch):
+    """In marked articles the host's runs decide too: what over half of them hold goes, what few hold stays."""
+    notice, quote = "Subscribe now to our daily letter for more stories", "a quoted line that three of these articles have in common"
+    body = {i: " ".join(f"own{i}x{k}" for k in range(30)) for i in range(40)}
+    rows, want = [], {}
+    for i, said in body.items():
+        tail = f" {quote}" if i < 3 else ""
+        rows.append((i, f"http://one.example/{i}", f"<nav>menu</nav><article><p>{said}</p>{f'<p>{notice}</p>' if i % 4 else ''}<p>{tail}</p></article>"))
+        want[i] = said + tail
+    # Half of the articles and no more; few articles; near copies, all alike but for a word; copies count once.
+    rows += [(100 + i, f"http://half.example/{i}", f"<main>{said} {notice if i % 2 else ''}</main>") for i, said in body.items()]
+    want |= {100 + i: said + (f" {notice}" if i % 2 else "") for i, said in body.items()}
+    rows += [(200 + i, f"http://few.example/{i}", f"<article>{body[i]} {notice}</article>") for i in range(9)]
+    want |= {200 + i: f"{body[i]} {notice}" for i in range(9)}
+    rows += [(300 + i, f"http://near.example/{i}", f"<article>{body[0]} day{i}</article>") for i in range(12)]
+    want |= {300 + i: f"{body[0]} day{i}" for i in range(12)}
+    rows += [(400 + i, f"http://copies.example/{i}", f"<article>{body[i % 9]} {notice}</article>") for i in range(90)]
+    want |= {400 + i: f"{body[i % 9]} {notice}" for i in range(90)}
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.id: r.text for r in pages.main_text(table).collect()} == want
+    monkeypatch.setattr(pages, "SITE_PAGES", 7)
+    assert {r.id: r.text for r in pages.main_text(table.repartition(3)).collect()} == want
+
+
+def test_stretches_hold_all_frequent_runs(monkeypatch):
+    """The runs that over half of a site's streams hold are found in the stretches, as often as in the streams."""
+    monkeypatch.setattr(pages, "RUN", 3)
+    draw = random.Random(3)
+    for _ in range(200):
+        streams = [[draw.choice("aaabbcd") for _ in range(draw.randrange(1, 14))] for _ in range(draw.randrange(1, 8))]
+        sites = np.unique([draw.randrange(2) for _ in streams], return_inverse=True)[1]
+        held, stream = pages._stretches(streams, sites)
+
+        def frequent(parts, of):
+            on = {}
+            for words, i in zip(parts, of, strict=True):
+                for k in range(len(words) - 2):
+                    on.setdefault((int(sites[i]), *words[k : k + 3]), set()).add(int(i))
+            return {run: at for run, at in on.items() if 2 * len(at) > int((sites == run[0]).sum())}
+
+        assert frequent(held, stream) == frequent(streams, range(len(streams)))
