@@ -84,8 +84,8 @@ class Index:
 
     def __init__(self, names: DataFrame) -> None:
         heads = names.select("w", F.col("head").alias("t1"))
-        self.heads: Broadcast = term_filter(heads, "w")
-        self.wholes: Broadcast = term_filter(names, "w")
+        self.heads: Broadcast = term_filter(heads, "w", FILTER_BITS)
+        self.wholes: Broadcast = term_filter(names, "w", FILTER_BITS)
         # As many rows as names of a column have lengths.
         rows = names.select("kind", "w", "length").distinct().collect()
         self.lengths = {w: sorted({r["length"] for r in rows if r["w"] == w}) for w in {r["w"] for r in rows}}

@@ -339,6 +339,57 @@ def test_a_filter_passes_what_it_holds(spark):
     assert total(some) == total(rows)
 
 
+def test_a_filter_grows_with_its_terms(spark, monkeypatch):
+    monkeypatch.setattr(G, "FILTER_BITS", 1 << 10)
+    monkeypatch.setattr(G, "MOST_BITS", 1 << 14)
+    texts = spark.createDataFrame([(i, f"w{i} v{i}") for i in range(600)], "id long, text string")
+    held = texts.select("id", F.array(G.cell(F.lit(1), F.lit(4))).alias("cells"), G.token_hashes(F.col("text")).alias("words"))
+    rows = G.gram_rows(held, "id")
+    wanted = rows.where("id < 300").select("cell", "t1", "t2")
+    likely = G.term_filter(wanted, "cell")
+    assert 64 * len(likely.value) == 1 << 13
+    some = G.gram_rows(held, "id", likely, columns=["id", "t1"])
+    assert some.columns == ["id", "t1"]
+    assert some.where("id < 300").count() == 600 and some.where("id >= 300").count() < 120
+    assert [64 * len(G.term_filter(wanted.limit(n), "cell").value) for n in (1, 128, 129)] == [1 << 10, 1 << 10, 1 << 11]
+
+
+def test_a_search_counts_only_terms_of_several_texts_by_name(spark, monkeypatch):
+    """The same terms as of a plain fit, also where members come twice; no full name is moved unfiltered."""
+    docs = spark.createDataFrame([t[:2] for t in TEXTS], "id long, text string")
+    rows = [(m, n, y, i) for m, n in (("tax", 1), ("all", 2), ("more", 2)) for i, _, y in TEXTS]
+    kinds = "model string, n int, label int, id long"
+    # Some train twice in a cell, some are of both parts, and some test in one model and train in others.
+    train = spark.createDataFrame([r for k, r in enumerate(rows) if k % 3] + rows[1::5], kinds)
+    test = spark.createDataFrame([r for k, r in enumerate(rows) if k % 3 == 0] + rows[2::7], kinds)
+    moved = []
+    whole = G.gram_rows
+
+    def gram_rows(texts, key, likely=None, rest=False, by="cell", columns=None):
+        if likely is None:
+            moved.append(columns)
+        return whole(texts, key, likely, rest, by, columns)
+
+    plain = bayes.fit(train, docs, "id", "text")
+    monkeypatch.setattr(G, "gram_rows", gram_rows)
+    search = bayes.fit(train, docs, "id", "text", test)
+    assert moved == [["cell", "copies", "t1"]]
+    columns = ["model", "n", "t1", "t2", "df", *(F.round(c, 9) for c in ("idf", "log_p0", "log_p1"))]
+    got, want = (Counter(map(tuple, m.terms.select(columns).collect())) for m in (search, plain))
+    assert not got - want
+    # Of what is left out, nothing is of several members or in a test text.
+    texts = {i: {n: grams(t, n) for n in (1, 2)} for i, t, _ in TEXTS}
+    assert len(got) == sum(
+        sum(c > 1 or g in asked for g, c in counts.items())
+        for m, n in (("tax", 1), ("all", 2), ("more", 2))
+        for counts, asked in [(
+            Counter(g for r in train.collect() if r.model == m for g in texts[r.id][n]),
+            {g for r in test.collect() if r.model == m for g in texts[r.id][n]},
+        )]
+    )
+    assert sorted(map(str, search.classes.collect())) == sorted(map(str, plain.classes.collect()))
+
+
 def test_tfidf_with_a_hot_term(spark):
     docs = spark.createDataFrame([(i, f"the w{i} w{i % 3}") for i in range(50)], "id long, text string")
     got = {(r.id, r.term): r.weight for r in terms.tfidf(docs, "id", "text").collect()}
